@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import ann, bit_sliced, jaccard_join, mixing, packing, token_counts, url_filter
+from loomgraph.llm import ann, bit_sliced, html_text, jaccard_join, mixing, packing, token_counts, url_filter
 from loomgraph.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op4_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ SELECT * FROM n WHERE "rank" <= 10"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op4_site_text": op4_site_text,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_source_mix": op7_source_mix,
