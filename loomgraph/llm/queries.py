@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import ann, bit_sliced, html_text, jaccard_join, mixing, packing, token_counts, url_filter
+from loomgraph.llm import ann, bit_sliced, html_text, jaccard_join, line_dedup, mixing, packing, token_counts, url_filter
 from loomgraph.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,22 @@ SELECT page_id, host, path,
   coalesce((SELECT arg_max(a, length(h || p)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
 FROM v"""
 
+#: The shortest runs of 20 words from and up to each line, as texts; all but the first copy of each go.
+OP3_SQL = r"""
+WITH s AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM s),
+w AS (SELECT *, greatest(1, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS w FROM l),
+c AS (SELECT doc, pos, line, w, sum(w) OVER (PARTITION BY doc ORDER BY pos) AS stop FROM w),
+r AS (SELECT a.doc, a.pos, min(b.pos) AS last FROM c a JOIN c b ON a.doc = b.doc AND b.pos >= a.pos AND b.stop - a.stop + a.w >= 20 GROUP BY a.doc, a.pos
+      UNION
+      SELECT b.doc, max(a.pos) AS pos, b.pos AS last FROM c a JOIN c b ON a.doc = b.doc AND b.pos >= a.pos AND b.stop - a.stop + a.w >= 20 GROUP BY b.doc, b.pos),
+t AS (SELECT r.doc, r.pos, r.last, string_agg(c.line, chr(10) ORDER BY c.pos) AS run FROM r JOIN c ON c.doc = r.doc AND c.pos BETWEEN r.pos AND r.last GROUP BY r.doc, r.pos, r.last),
+k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc, pos) AS copy FROM t),
+g AS (SELECT DISTINCT c.doc, c.pos FROM k JOIN c ON c.doc = k.doc AND c.pos BETWEEN k.pos AND k.last WHERE copy > 1),
+n AS (SELECT c.doc, coalesce(string_agg(c.line, chr(10) ORDER BY c.pos) FILTER (WHERE g.pos IS NULL), '') AS text, count(*)::INT AS n_lines, count(g.pos)::INT AS n_removed
+      FROM c LEFT JOIN g ON g.doc = c.doc AND g.pos = c.pos GROUP BY c.doc)
+SELECT doc_id, n.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed FROM documents LEFT JOIN n ON n.doc = doc_id"""
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -71,6 +91,7 @@ SELECT * FROM n WHERE "rank" <= 10"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op3_line_dedup": op3_line_dedup,
         "op4_site_text": op4_site_text,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_best_fit_packing": op6_best_fit_packing,
@@ -82,4 +103,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op9_bit_sliced_top_k": OP9_SQL}
+    return {"op1_url_filter": OP1_SQL, "op3_line_dedup": OP3_SQL, "op9_bit_sliced_top_k": OP9_SQL}
