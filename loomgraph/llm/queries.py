@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import ann, bit_sliced, html_text, jaccard_join, line_dedup, mixing, packing, token_counts, url_filter
+from loomgraph.llm import ann, bit_sliced, html_text, jaccard_join, line_dedup, mixing, packing, quality, token_counts, url_filter
 from loomgraph.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "p_text", "p_meta", "score", "keep")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -91,6 +95,7 @@ SELECT * FROM n WHERE "rank" <= 10"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_co_trained_quality": op2_co_trained_quality,
         "op3_line_dedup": op3_line_dedup,
         "op4_site_text": op4_site_text,
         "op5_jaccard_join": op5_jaccard_join,
