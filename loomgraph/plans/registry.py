@@ -6,10 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with its SQL."""
+
+    def put(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql.strip()
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Query]:
+    from loomgraph.plans import corpus, graph  # noqa: F401  they register on import
+
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    queries()
+    return dict(_SQL)
