@@ -78,6 +78,9 @@ class Stage:
         out.staged_path = path
         return out
 
+    def cut(self, df: DataFrame) -> DataFrame:
+        return self.write(df, "cut")
+
     def drop(self, *dfs: DataFrame) -> None:
         for df in dfs:
             if path := getattr(df, "staged_path", None):

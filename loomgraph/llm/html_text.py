@@ -158,7 +158,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     ship(spark)
     stage = Stage(spark, "html")
     pages = with_host_and_path(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")))
-    pages = pages.select("page_id", "url", "html", F.when(F.col("host") != "", F.xxhash64("host")).alias("host"))
+    pages = pages.select(F.col("page_id").cast("string"), "url", "html", F.when(F.col("host") != "", F.xxhash64("host").cast("string")).alias("host"))
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -169,7 +169,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
                 found += [None, *got]  # null stands for the page itself
             yield pd.DataFrame({"host": host, "hash": pd.array(found, dtype="Int64")})
 
-    seen = pages.filter("host is not null").select("host", "html").mapInPandas(hashes, "host long, hash long")
+    seen = pages.filter("host is not null").select("host", "html").mapInPandas(hashes, "host string, hash long")
     counted = stage.write(seen.groupBy("host", "hash").agg(F.count("*").alias("n")), "counts")
     total = counted.filter("hash is null").select(F.col("host").alias("h"), F.col("n").alias("pages"))
     template = counted.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(total, F.col("host") == F.col("h"))
@@ -179,7 +179,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
         def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = held.value
             for pdf in batches:
-                pdf["text"] = [main_text(p, known.get(h, frozenset())) for h, p in zip(pdf.pop("host").array.to_numpy(object), pdf.pop("html"), strict=True)]
+                pdf["text"] = [main_text(p, known.get(h, frozenset())) for h, p in zip(pdf.pop("host"), pdf.pop("html"), strict=True)]
                 yield pdf
 
         return go
@@ -188,9 +188,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     out = None
     for k in range(parts):
         known: dict[int, set[int]] = {}
-        for r in template.filter(F.pmod("host", F.lit(parts)) == k).toLocalIterator():
+        for r in template.filter(F.pmod(F.crc32("host"), F.lit(parts)) == k).toLocalIterator():
             known.setdefault(r["host"], set()).add(r["hash"] + (1 << 63))
-        some = pages if parts == 1 else pages.filter(F.pmod(F.coalesce("host", F.lit(0)), F.lit(parts)) == k)
-        got = some.mapInPandas(read(spark.sparkContext.broadcast(known)), "page_id long, url string, text string")
+        some = pages if parts == 1 else pages.filter(F.pmod(F.crc32(F.coalesce("host", F.lit(""))), F.lit(parts)) == k)
+        got = some.mapInPandas(read(spark.sparkContext.broadcast(known)), "page_id string, url string, text string")
         out = got if out is None else out.unionAll(got)
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.withColumn("page_id", F.col("page_id").cast("long")).withColumn("n_chars", F.length("text").cast("long"))

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import Stage, few, ship
-from loomgraph.llm.components import components
 from loomgraph.llm.shingles import shingles
+from loomgraph.operators.components import components
 
 #: A token is common from so many holders on; so many of the commonest are kept (16 MB, sent to all tasks).
 COMMON, MOST_COMMON = 32, 1_000_000
@@ -132,10 +132,12 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 s = shingles(text, n)
                 rows.append((doc, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), first_tokens(s, token, times, percent).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "first"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "first"])
 
-    texts = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    outlined = stage.write(texts.mapInPandas(outline, "doc_id long, n_shingles long, digest binary, first array<long>"), "outlines")
+    # Ids travel as strings: pandas would turn integers with nulls among them to floats.
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    outlined = texts.mapInPandas(outline, "doc_id string, n_shingles long, digest binary, first array<long>")
+    outlined = stage.write(outlined.withColumn("doc_id", F.col("doc_id").cast("long")), "outlines")
     classes = stage.write(outlined.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     first = outlined.join(classes, (F.col("doc_id") == F.col("rep")) & (outlined["digest"] == classes["digest"]), "left_semi")
     # One row per class and token, for tokens of two classes or more.
@@ -149,10 +151,10 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     pointed = pointed.filter((F.col("c") >= F.least(depth(F.col("n")), depth(F.col("lead_n")))) & _sizes_fit("n", "lead_n", percent))
     tried = stage.write(pointed.select(F.col("lead").alias("a"), F.col("rep").alias("b")), "pointed")
     links = verified(tried, texts, n, percent, stage)
-    groups = stage.write(components(links, stage), "groups")
+    groups = stage.write(components(links, stage.cut), "groups")
 
     found = _between(shared, groups, tried, texts, n, percent, stage)
-    ends = stage.write(components(links.union(found), stage), "ends")
+    ends = stage.write(components(links.union(found), stage.cut), "ends")
     whole = outlined.join(classes, "digest", "left").join(ends.select(F.col("node").alias("rep"), "component"), "rep", "left")
     return whole.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
 

@@ -18,13 +18,13 @@ from __future__ import annotations
 import heapq
 import math
 import random
+import re
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomgraph.llm.common import WORD, Stage, small
 
@@ -141,21 +141,16 @@ def _plan(shards: list, goal: Sequence[float], block: int, cap: float) -> list[t
     return [(sid, shard, w, n, q, *_permutation(n, f"{sid}/{shard}")) for (sid, shard, w), n, q in zip(shards, count, quota, strict=True)]
 
 
-_SPANS = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
-
-
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed documents themselves, with the columns of ``docs``: a document's text becomes its whole
     copies and the words of its spans, parted by blank lines, so that it has ``taken`` words; documents
     of which nothing is taken go.  doc_id has to be unique here."""
-    import re
-
     word = re.compile(WORD)
 
     def cut(batches):
         for pdf in batches:
             texts = []
-            for text, epochs, spans in zip(pdf["text"], pdf["epochs"], pdf["spans"], strict=True):
+            for text, epochs, spans in zip(pdf["text"], pdf["__epochs"], pdf["__spans"], strict=True):
                 parts = [text] * int(epochs)
                 if len(spans):
                     at = [m.span() for m in word.finditer(text)]
@@ -167,12 +162,12 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
                             merged.append([s["start"], s["stop"]])
                     parts += [text[at[a][0] : at[b - 1][1]] for a, b in merged]
                 texts.append("\n\n".join(parts))
-            pdf = pdf.drop(columns=["epochs", "spans"])
+            pdf = pdf.drop(columns=["__epochs", "__spans"])
             pdf["text"] = texts
             if "n_chars" in pdf:
                 pdf["n_chars"] = [len(t) for t in texts]
             yield pdf
 
-    some = mixed.filter("taken > 0").select("doc_id", "epochs", "spans")
-    joined = docs.filter(F.col("text").isNotNull()).join(some, "doc_id").select(*docs.columns, "epochs", "spans")
+    some = mixed.filter("taken > 0").select("doc_id", F.col("epochs").alias("__epochs"), F.col("spans").alias("__spans"))
+    joined = docs.filter(F.col("text").isNotNull()).join(some, "doc_id").select(*docs.columns, "__epochs", "__spans")
     return joined.mapInPandas(cut, docs.schema)

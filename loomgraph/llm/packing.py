@@ -116,8 +116,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             yield pd.DataFrame(rows, columns=names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", *(["ids"] if with_ids else [])]
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(encode, schema)
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids binary" * with_ids
+    # Ids travel as strings: pandas would turn integers with nulls among them to floats.
+    cut = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(encode, schema)
+    return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -140,13 +142,14 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
             pdf["offset"] = offset[k] + (own - rank[k]) % per[k] * n
             yield pdf
 
+    # Strings again for the same reason.
     before = F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1))
     starts = per_task.select(F.col("length").alias("l"), F.col("task").alias("t"), F.coalesce(before, F.lit(0)).alias("before"))
     ranked = cut.join(starts, (F.col("length") == F.col("l")) & (F.col("task") == F.col("t")))
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+    columns = [F.col("doc_id").cast("string"), "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     ranked = ranked.select(*columns, (F.col("nth") + F.col("before")).alias("rank"))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
-    return ranked.mapInPandas(place, schema)
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
+    return ranked.mapInPandas(place, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
