@@ -5,8 +5,9 @@ the union of its members' tokens is kept (one row per token and group: the token
 tokens of a class the matrix row of a group holds bounds its overlap with every member from above, and only
 groups that reach the bound are opened and their members compared, token by token and then exactly.
 
-Which tokens enter the matrix: in any fixed order of all tokens, two sets that overlap in t of n tokens share
-at least l of their first n - t + l.  The order puts tokens that many documents hold last (common lines and
+Which tokens enter the matrix: in any fixed order of all tokens, two sets of n and m tokens that overlap in t
+share at least l of the first n - t + l of one and m - t + l of the other, and t follows from the similarity and
+the two sizes.  The order puts tokens that many documents hold last (common lines and
 passages), so that a token in the matrix has few holders unless the documents themselves are alike.
 
 How groups come about: each token points from its holders to the least of them.  Such pairs are verified
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import Stage, few, ship
@@ -68,11 +69,21 @@ def common_tokens(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return token[order], found["times"].to_numpy(np.int64)[order]
 
 
+#: The largest l.
+DEEP = 6
+
+
 def depth(n):
     """l: how many tokens two similar sets share at least among those that enter the matrix, by size (a number or a column)."""
     if isinstance(n, int):
-        return 1 + min(5, n // 25)
-    return F.lit(1) + F.least(F.lit(5), F.floor(n / 25)).cast("int")
+        return 1 + min(DEEP - 1, n // 25)
+    return F.lit(1) + F.least(F.lit(DEEP - 1), F.floor(n / 25)).cast("int")
+
+
+def within(pos: Column, n: Column, other: Column, l: Column, percent: int) -> Column:
+    """Whether a token at this place of a set of n tokens counts towards the l that a similar set of ``other`` tokens
+    has to share: place <= n - t + l for an overlap t of percent * (n + other) / (100 + percent)."""
+    return (pos - l) * (100 + percent) - 100 * n + percent * other <= 0
 
 
 def first_tokens(s: np.ndarray, common: np.ndarray, times: np.ndarray, percent: int) -> np.ndarray:
@@ -141,13 +152,14 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     classes = stage.write(outlined.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     first = outlined.join(classes, (F.col("doc_id") == F.col("rep")) & (outlined["digest"] == classes["digest"]), "left_semi")
     # One row per class and token, for tokens of two classes or more.
-    tokens = stage.write(first.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("first").alias("token")), "tokens")
-    held = tokens.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("holders")).filter("holders > 1")
-    shared = stage.write(tokens.join(held.select("token", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n")), "token"), "shared")
+    tokens = stage.write(first.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("first").alias("pos", "token")), "tokens")
+    held = tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("holders")).filter("holders > 1").drop("holders")
+    shared = stage.write(tokens.withColumn("pos", F.col("pos") + 1).join(held, "token"), "shared")
     stage.drop(tokens)
 
     texts = docs.filter("text is not null")
-    pointed = shared.filter("rep <> lead").groupBy("rep", "n", "lead", "lead_n").agg(F.count("*").alias("c"))
+    pointed = shared.filter("rep <> lead").groupBy("rep", "n", "lead").agg(F.count("*").alias("c"))
+    pointed = pointed.join(outlined.groupBy(F.col("doc_id").alias("lead")).agg(F.max("n_shingles").alias("lead_n")), "lead")
     pointed = pointed.filter((F.col("c") >= F.least(depth(F.col("n")), depth(F.col("lead_n")))) & _sizes_fit("n", "lead_n", percent))
     tried = stage.write(pointed.select(F.col("lead").alias("a"), F.col("rep").alias("b")), "pointed")
     links = verified(tried, texts, n, percent, stage)
@@ -161,22 +173,27 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
 
 def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, texts: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
     """Links between members of different groups, by the token-group matrix."""
-    own = shared.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("grp"))
+    own = shared.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("grp"))
     own = stage.write(own, "grouped")
-    # The matrix, of tokens that more than one group holds, with the range of sizes of the members that hold them.
-    matrix = own.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    wide = matrix.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1").select("token")
+    # The matrix, of tokens that more than one group holds: the range of sizes of the members that hold a token, and
+    # how early it comes at best (the part of ``within`` that depends on the member).
+    wide = own.groupBy("token").agg((F.min("grp") < F.max("grp")).alias("wide")).filter("wide").select("token")
     own = stage.write(own.join(wide, "token", "left_semi"), "wide")
-    matrix = stage.write(own.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
+    early = F.min(F.col("pos") * (100 + percent) - 100 * F.col("n")).alias("early")
+    matrix = own.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), early)
     near = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100) & (F.col("other") < F.col("grp"))
-    bound = own.join(matrix, "token").filter(near).groupBy("rep", "n", "other").agg(F.count("*").alias("c"))
-    least = depth(F.floor(F.col("n") * percent / 100))  # a similar member may be smaller
-    opened = stage.write(bound.filter(F.col("c") >= least).select("rep", "other"), "opened")
-
-    asking = own.join(opened, "rep").select("token", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("other").alias("grp"))
-    members = own.select("token", "grp", F.col("rep").alias("a"), F.col("n").alias("an"))
-    pairs = asking.join(members, ["token", "grp"]).filter(_sizes_fit("an", "bn", percent)).groupBy("a", "an", "b", "bn").agg(F.count("*").alias("c"))
-    pairs = pairs.filter(F.col("c") >= F.least(depth(F.col("an")), depth(F.col("bn")))).select("a", "b")
+    smallest = F.greatest(F.col("low"), F.ceil(F.col("n") * percent / 100))  # of a similar member
+    near = near & within(F.col("pos"), F.col("n"), smallest, F.lit(DEEP), percent) & (F.col("early") - DEEP * (100 + percent) + percent * F.col("n") <= 0)
+    hits = stage.write(own.join(matrix, "token").filter(near).select("token", "rep", "n", "pos", "other"), "hits")
+    least = depth(F.floor(F.col("n") * percent / 100))
+    opened = hits.groupBy("rep", "n", "other").agg(F.count("*").alias("c")).filter(F.col("c") >= least).select("rep", "other")
+
+    asking = hits.join(opened, ["rep", "other"], "left_semi").select("token", F.col("other").alias("grp"), F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bp"))
+    members = own.select("token", "grp", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"))
+    l = F.least(depth(F.col("an")), depth(F.col("bn")))
+    early = within(F.col("ap"), F.col("an"), F.col("bn"), l, percent) & within(F.col("bp"), F.col("bn"), F.col("an"), l, percent)
+    pairs = asking.join(members, ["token", "grp"]).filter(_sizes_fit("an", "bn", percent) & early).groupBy("a", "an", "b", "bn").agg(F.count("*").alias("c"))
+    pairs = pairs.filter(F.col("c") >= l).select("a", "b")
     done = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stage.write(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     return verified(pairs, texts, n, percent, stage)
