@@ -69,7 +69,7 @@ def sainte_lague(weights: Sequence[float], seats: int, most: Sequence[int]) -> l
     for _ in range(200):
         mid = (low + high) / 2
         low, high = (low, mid) if dealt(mid).sum() <= seats else (mid, high)
-    s = dealt(high)
+    s = dealt(high * (1 + 1e-9))  # equal quotients are left to the heap
     if (over := int(s.sum()) - seats) > 0:  # only by rounding of the divisor
         for i in np.argsort(w / np.maximum(2 * s - 1, 1), kind="stable")[:over]:
             s[i] -= 1

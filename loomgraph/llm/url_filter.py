@@ -40,8 +40,9 @@ def _places(keys: list[str], blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each key its block, and eight 64-bit masks, one per word of the block."""
     h = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
     block = ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    salts = np.arange(1, 16, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    bit = ((h & np.uint64(0xFFFFFFFF))[:, None] * salts) >> np.uint64(58)
+    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    bit = (mixed[:, None] >> np.arange(0, 48, 6, dtype=np.uint64)) & np.uint64(63)
     return block.astype(np.int64), np.uint64(1) << bit
 
 
