@@ -16,8 +16,9 @@ def norm(v: Column | str) -> Column:
 
 def l2_normalize(v: Column | str) -> Column:
     """Divided by its norm; a zero vector stays."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(_col(v), lambda x: x / n)).otherwise(_col(v))
+    # An array of one binds vector and norm, else the norm would be taken anew for each component.
+    bound = F.array(F.struct(_col(v).alias("v"), norm(v).alias("n")))
+    return F.get(F.transform(bound, lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])).otherwise(s["v"])), F.lit(0))
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

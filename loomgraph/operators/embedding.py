@@ -26,10 +26,12 @@ def hashed_sparse(texts: DataFrame, dim: int = DIM) -> DataFrame:
 
 def hashed_vectors(texts: DataFrame, dim: int = DIM) -> DataFrame:
     """id, vector: normalised; a text without tokens has the zero vector."""
-    cells = hashed_sparse(texts, dim).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("idx", "w"))).alias("cells"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.get(F.array(F.element_at("cells", i)), F.lit(0)), F.lit(0.0)))
-    x = texts.select("id").join(cells, "id", "left").withColumn("v", F.when(F.col("cells").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(dense))
-    return x.select("id", V.l2_normalize("v").alias("vector"))
+    cells = hashed_sparse(texts, dim).groupBy("id").agg(F.collect_list(F.struct("idx", "w")).alias("cells"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    unit = F.transform("cells", lambda c: F.struct(c["idx"].alias("idx"), F.when(F.col("norm") > 0, c["w"] / F.col("norm")).otherwise(c["w"]).alias("w")))
+    cells = cells.select("id", F.map_from_entries(unit).alias("cells"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit(0.0)))
+    x = texts.select("id").join(cells, "id", "left")
+    return x.select("id", F.when(F.col("cells").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(dense).alias("vector"))
 
 
 #: Name to a function (options) -> (function of a list of texts to a list of vectors).
