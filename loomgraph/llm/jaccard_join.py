@@ -35,9 +35,10 @@ from loomgraph.llm.shingles import shingles
 from loomgraph.operators.components import components
 
 #: A token is common from so many holders on; so many of the commonest are kept (16 MB, sent to all tasks).
-COMMON, MOST_COMMON = 32, 1_000_000
-#: In a run of so many tokens of a task, those that come so often are reported.
-RUN, OFTEN = 2_000_000, 4
+COMMON, MOST_COMMON = 16, 1_000_000
+#: In a run of so many tokens of a task, those that come so often are reported; of the tokens with the lowest hashes,
+#: which come first among rare ones, those that come twice.
+RUN, OFTEN, LOWEST = 4_000_000, 4, int(0.3 * 2**64)
 #: Ids up to which a semi-join with the texts is broadcast.
 BROADCAST_IDS = 500_000
 
@@ -50,7 +51,8 @@ def common_tokens(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
         def often() -> pd.DataFrame:
             token, times = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"token": token[times >= OFTEN].view(np.int64), "times": times[times >= OFTEN]})
+            kept = (times >= OFTEN) | (times >= 2) & (token < np.uint64(LOWEST))
+            return pd.DataFrame({"token": token[kept].view(np.int64), "times": times[kept]})
 
         for pdf in batches:
             for text in pdf["text"]:
@@ -179,6 +181,9 @@ def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, texts: Data
     # how early it comes at best (the part of ``within`` that depends on the member).
     wide = own.groupBy("token").agg((F.min("grp") < F.max("grp")).alias("wide")).filter("wide").select("token")
     own = stage.write(own.join(wide, "token", "left_semi"), "wide")
+    # Whoever holds fewer such tokens than a similar pair shares is out, as one who asks and as a member.
+    enough = own.groupBy("rep", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= depth(F.floor(F.col("n") * percent / 100))).select("rep")
+    own = stage.write(own.join(enough, "rep", "left_semi"), "enough")
     early = F.min(F.col("pos") * (100 + percent) - 100 * F.col("n")).alias("early")
     matrix = own.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), early)
     near = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100) & (F.col("other") < F.col("grp"))
