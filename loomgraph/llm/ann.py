@@ -8,6 +8,9 @@ chi-square test holds: for a row at distance d the squared projected distance ov
 law with as many degrees of freedom as dimensions, so once the next leaf is so far that a row as near as the
 k-th found would lie beyond it with probability 1 - ``SURE`` at most, the search stops.
 
+Equal vectors of a block are indexed once, with all their ids.  Candidates are held by single-precision scores; where
+these, with their error bound, do not settle which vectors are the k best of those read, all of them are scored again.
+
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
 with a null id; shorter vectors count as ending in zeros; ties go to the smaller id; repeated rows are
 candidates each; an empty table gives an empty result; with fewer candidates than k all are returned."""
@@ -60,8 +63,28 @@ def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
     return out
 
 
+def distinct(ids: np.ndarray, x: np.ndarray):
+    """The distinct rows of x, all ids in order of (row, id), and where each row's ids start and end."""
+    x, seen = x + 0.0, {}  # no -0.0
+    which = np.array([seen.setdefault(row.tobytes(), len(seen)) for row in x], np.int64)
+    order = np.lexsort((ids, which))
+    stop = np.cumsum(np.bincount(which))
+    start = np.concatenate([[0], stop[:-1]])
+    return x[order[start]], ids[order], start, stop
+
+
+def _others(ids: np.ndarray, own: int, k: int) -> np.ndarray:
+    """The first k of the sorted ids that are not ``own``."""
+    if len(ids) == 1:
+        return ids if ids[0] != own else ids[:0]
+    a, b = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+    return np.concatenate([ids[: min(a, k)], ids[b : b + max(0, k - a)]])
+
+
 def index(ids: np.ndarray, x: np.ndarray, square: float):
     """The index of a block; see ``vectors.search``."""
+    x, ids, start, stop = distinct(ids, x)
+    least, most = ids[start], ids[stop - 1]
     n, dim = x.shape
     rng = np.random.default_rng(SEED)
     projection = rng.standard_normal((dim + 1, DIMS))
@@ -73,7 +96,9 @@ def index(ids: np.ndarray, x: np.ndarray, square: float):
     member = np.full((len(leaves), size), -1)
     for row, r in zip(member, leaves, strict=True):
         row[: len(r)] = r
-    held = x.astype(np.float32)[member]  # leaf by leaf, for quick reading; scores are taken from x
+    longest = math.sqrt(square)
+    held = (x / longest).astype(np.float32)[member]  # leaf by leaf, for quick reading; scores are taken from x
+    error = 1.01 * (dim + 4) * 2.0**-24 + dim * 2.0**-120  # of a single-precision score of vectors of length 1 at most
     limit = chi_square_quantile(SURE, DIMS)
 
     def ask(q_ids: np.ndarray, q: np.ndarray, k: int):
@@ -87,31 +112,48 @@ def index(ids: np.ndarray, x: np.ndarray, square: float):
         gap = np.maximum(np.maximum(low[None] - at[:, None], at[:, None] - high[None]), 0.0)
         far = (gap * gap).sum(axis=2)
         order = np.argsort(far, axis=1, kind="stable")
-        norm = (q * q).sum(axis=1) + square  # distance^2 = norm - 2 * inner product
-        q32, keep = q.astype(np.float32), k + 8
+        length = np.sqrt((q * q).sum(axis=1))
+        norm = length * length + square  # distance^2 = norm - 2 * inner product
+        q32, keep = (q / length[:, None]).astype(np.float32), k + 8
         scores, rows = np.full((len(q), keep), -np.inf, np.float32), np.full((len(q), keep), -1)
+        read = np.full(len(q), len(leaves))
         active = np.arange(len(q))
         for t in range(0, len(leaves), STEP):
             near = order[active, t : t + STEP]
             r = member[near].reshape(len(active), -1)
             s = np.matmul(held[near].reshape(len(active), -1, dim), q32[active, :, None])[:, :, 0]
-            s[(r < 0) | (ids[r] == q_ids[active, None])] = -np.inf
+            own = q_ids[active, None]
+            s[(r < 0) | ((least[r] == own) & (most[r] == own))] = -np.inf
             s, r = np.concatenate([scores[active], s], axis=1), np.concatenate([rows[active], r], axis=1)
             best = np.argpartition(-s, keep - 1, axis=1)[:, :keep]
             scores[active], rows[active] = np.take_along_axis(s, best, 1), np.take_along_axis(r, best, 1)
             if t + STEP >= len(leaves):
                 break
-            kth = -np.sort(-scores[active], axis=1)[:, k - 1].astype(float)
+            kth = -np.sort(-scores[active], axis=1)[:, k - 1].astype(float) - error
             beyond = far[active, order[active, t + STEP]]
-            active = active[~(beyond >= limit * np.maximum(norm[active] - 2 * kth, 0.0))]
+            ends = beyond > limit * np.maximum(norm[active] - 2 * kth * length[active] * longest, 0.0)
+            read[active[ends]] = t + STEP
+            active = active[~ends]
             if not len(active):
                 break
         out = []
         for i, own in enumerate(q_ids):
-            r = rows[i][np.isfinite(scores[i])]
-            exact = x[r] @ q[i]
-            best = np.lexsort((ids[r], -exact))[:k]
-            out.append((np.full(len(best), own), ids[r][best], exact[best]))
+            s = -np.sort(-scores[i].astype(float))
+            if s[-1] >= s[k - 1] - 2 * error and np.isfinite(s[-1]):
+                r = member[order[i, : read[i]]].ravel()
+                r = r[r >= 0]
+                r = r[(least[r] != own) | (most[r] != own)]
+            else:
+                r = rows[i][np.isfinite(scores[i])]
+            exact = (x[r] * q[i]).sum(axis=1)  # row by row, so that equal vectors score alike in all blocks
+            if len(r) > k:
+                near = exact >= np.partition(exact, len(r) - k)[len(r) - k]
+                r, exact = r[near], exact[near]
+            found = [_others(ids[start[j] : stop[j]], own, k) for j in r]
+            exact = np.repeat(exact, [len(f) for f in found])
+            found = np.concatenate([np.zeros(0, np.int64), *found])
+            best = np.lexsort((found, -exact))[:k]
+            out.append((np.full(len(best), own), found[best], exact[best]))
         return out
 
     return ask

@@ -79,6 +79,28 @@ def test_ann_recall_and_exact_scores(spark):
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def test_ann_ids_of_many_equal_vectors_and_scores(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3000, 12))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    ids = rng.permutation(3000)
+    x[:900] = x[0]
+    x[900:1000] = x[900]
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, 20, 20, lambda a, b: float((np.array(a) * np.array(b)).sum()))
+    copied = {q for q in want if q in set(ids[:1000].tolist())}
+    for size in (32_768, 700):
+        got = results(V.search(df, 20, 20, False, "test", ann.index, block_rows=size))
+        assert copied and all(got[q] == want[q] for q in copied)
+        assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+    # Different vectors with one score: all that were read compete.
+    x = np.concatenate([[[1.0, 0, 0, 0]], np.column_stack([np.full(200, 0.5), rng.standard_normal((200, 3))])])
+    ids = np.concatenate([[0], 1 + rng.permutation(200)])
+    _, found, score = ann.index(ids, x, float((x * x).sum(axis=1).max()))(ids[:1], x[:1], 20)
+    assert found.tolist() == list(range(1, 21)) and set(score.tolist()) == {0.5}
+
+
 def test_chi_square():
     assert ann.chi_square_cdf(ann.chi_square_quantile(0.9, 8), 8) == pytest.approx(0.9)
     assert ann.chi_square_quantile(0.9, 8) == pytest.approx(13.3616, abs=1e-3)
