@@ -32,7 +32,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later copies of repeated line runs; texts that lose all their lines go."""
-    out = line_dedup.dedup_lines(docs).filter("n_removed = 0 or text <> ''")
+    out = line_dedup.dedup_lines(docs, every_row=True).filter("n_removed = 0 or text <> ''")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

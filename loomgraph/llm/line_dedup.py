@@ -17,8 +17,9 @@ ids or intervals are left to the splitting of skewed partitions.
 Defined cases: lines end at newlines only; a line counts as one word at least, so that empty lines are part of
 runs; a null text stays null; a repeat within a document counts (of a run that overlaps its own earlier copy,
 what the earlier copy does not begin with goes); a text whose lines all go becomes empty; doc_id tells
-documents apart, rows that repeat a doc_id or have none are left as they are; an empty table gives an empty
-result; other columns are kept."""
+documents apart, rows that repeat a doc_id or have none are left as they are.  With ``every_row`` each row is a
+document of its own: rows of one doc_id come in order of their content, rows without one after all others.  An
+empty table gives an empty result; other columns are kept."""
 
 from __future__ import annotations
 
@@ -34,9 +35,29 @@ MIN_WORDS = 20
 BROADCAST_IDS = 200_000
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _with_keys(docs: DataFrame, stage: Stage) -> DataFrame:
+    """docs plus __key (none, id, nth), which tells all rows apart: in order of doc_id, of rows of one doc_id in order of
+    their content, rows without a doc_id last.
+
+    Only rows without a doc_id of their own are sorted, by range partitions, and written."""
+    counts = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    twice = small(stage.write(counts.filter("n > 1").select("doc_id"), "twice"), BROADCAST_IDS)
+    own = docs.filter("doc_id is not null").join(twice, "doc_id", "left_anti").select("*", F.lit(0).cast("long").alias("__nth"))
+    rest = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    order = ["doc_id", "__text", "__row", "__any"]
+    shared = docs.join(twice, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    # The last number parts rows that are equal throughout, however many.
+    shared = shared.withColumns({"__text": F.md5("text"), "__row": F.xxhash64(*rest), "__any": F.rand(1)})
+    shared = shared.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__nth", F.monotonically_increasing_id())
+    shared = stage.write(shared.select(*docs.columns, "__nth"), "shared-ids")
+    kind = docs.schema["doc_id"].dataType
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(kind)).alias("id"), F.col("__nth").alias("nth"))
+    return own.select(*docs.columns, "__nth").unionByName(shared).withColumn("__key", key).drop("__nth")
+
+
+def _lines(docs: DataFrame, key: str) -> DataFrame:
     """doc, pos, id, w: of each line its hash and its words."""
-    rows = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    rows = docs.filter(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("doc"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return rows.select("doc", "pos", F.unhex(F.md5("line")).alias("id"), F.greatest(F.lit(1), F.regexp_count("line", F.lit(WORD))).alias("w"))
 
 
@@ -104,11 +125,16 @@ def _runs(rows: DataFrame, levels: int) -> DataFrame:
     return seg.select("doc", F.explode(both).alias("x")).select("doc", "x.*")
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc, gone: of each document that loses lines, the ranges (start, stop) of their numbers from 0."""
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id") -> DataFrame:
+    """doc, gone: of each document that loses lines, the ranges (start, stop) of their numbers from 0.
+
+    Of a key that several rows have, none takes part."""
     stage = Stage(docs.sparkSession, "lines")
-    twice = stage.write(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "twice")
-    lines = stage.write(_lines(docs.select("doc_id", "text").join(small(twice, BROADCAST_IDS), "doc_id", "left_anti")), "lines")
+    texts = docs.select(key, "text")
+    if key == "doc_id":
+        twice = stage.write(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "twice")
+        texts = texts.join(small(twice, BROADCAST_IDS), "doc_id", "left_anti")
+    lines = stage.write(_lines(texts, key), "lines")
     rows = stage.write(_stretches(lines, min_words), "stretches")
     longest = rows.agg(F.max(F.greatest("ahead", "back"))).head()[0] or 1
     levels = int(longest).bit_length() - 1
@@ -122,14 +148,19 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return ranges.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of ``docs`` with later copies of repeated line runs deleted from ``text``, plus n_lines and n_removed."""
-    gone = repeated_lines(docs, min_words).select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
-    joined = docs.join(gone, F.col("doc_id") == F.col("__doc"), "left")
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_row: bool = False) -> DataFrame:
+    """The rows of ``docs`` with later copies of repeated line runs deleted from ``text``, plus n_lines and n_removed.
+
+    every_row: rows that repeat a doc_id or have none take part, too."""
+    key = "__key" if every_row else "doc_id"
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    if every_row:
+        docs = _with_keys(docs, Stage(docs.sparkSession, "rows"))
+    gone = repeated_lines(docs, min_words, key).select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
+    joined = docs.join(gone, F.col(key) == F.col("__doc"), "left")
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.exists("__gone", lambda g: i.between(g["start"], g["stop"])))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     removed = F.aggregate("__gone", F.lit(0), lambda n, g: n + g["stop"] - g["start"] + 1)
-    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     counts = [F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)).alias("n_lines"), F.coalesce(removed, F.lit(0)).alias("n_removed")]
     return joined.select(*rest, text.alias("text"), *counts)

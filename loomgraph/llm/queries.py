@@ -26,7 +26,7 @@ def op2_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), every_row=True)
 
 
 def op4_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:

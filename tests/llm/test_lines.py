@@ -1,6 +1,7 @@
+import hashlib
 import random
 
-from loomgraph.llm import line_dedup
+from loomgraph.llm import line_dedup, queries
 from loomgraph.llm.common import Stage
 
 from cases import documents, empty
@@ -60,3 +61,21 @@ def test_awkward_cases(spark):
     assert out[21, "s"]["n_removed"] == 0 and out[22, "s"]["text"] == "y"
     assert set(docs.columns) <= set(line_dedup.dedup_lines(docs).columns)
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_every_row_takes_part(spark, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(50))
+    rng = random.Random(8)
+    pool = ["a b c", "d e", "", "f g h i j k", "l", "m n o p"]
+    shard = [(i, "\n".join(rng.choices(pool, k=12))) for i in range(20)]
+    rows = [*shard, *shard, (5, passage + "\nfive"), (30, "thirty\n" + passage), (None, passage + "\nnone"), (None, passage + "\nnone"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, hashlib.md5((rows[i][1] or "").encode()).hexdigest()))
+    for least in (4, 20):
+        want = model({n: rows[i][1] for n, i in enumerate(order)}, least)
+        want = sorted((str(rows[i][0]), str(want.get(n))) for n, i in enumerate(order))
+        got = sorted((str(r["doc_id"]), str(r["text"])) for r in line_dedup.dedup_lines(df, least, every_row=True).collect())
+        assert got == want, least
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op3_line_dedup(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows) and sum(passage in (r["text"] or "") for r in out) == 1
