@@ -1,13 +1,16 @@
 """Main text of web pages, by removal of what recurs across a site.
 
 Each page becomes a tree of elements.  The hashes of its container subtrees are counted per host in Spark; a
-subtree that recurs on many pages of a host is template and is deleted wherever it stands on that host, but
-for headings and paragraphs and what holds most of a page's text.  What is left is cut by the roles that the
+subtree that recurs on a fixed number of pages of a host is template and is deleted wherever it stands on that
+host, but for headings and paragraphs.  Copies of an article are no template: a subtree that reads like one (it holds
+a main heading, an article, or much running text) has to recur on a share of the host's pages, and goes only where it
+holds at most half of a page.  What is left is cut by the roles that the
 markup itself tells (navigation, header, footer, form, advert, comments and so on), and the article is read
 block by block.
 
 Counts are partial sums per task before their shuffle, so that a host with a third of all pages is no burden.
-Templates are sent to the tasks in parts of bounded size, each with the pages of its hosts.
+Templates are sent to the tasks in parts of bounded size, each with the pages of its hosts; those of one host
+stay together.
 
 Defined cases: a null or empty page has an empty text; so has one without content; a null url has an empty
 host, for which nothing is counted; broken and cut-off markup is read as far as it goes; repeated rows are
@@ -27,8 +30,10 @@ from loomgraph.llm.common import Stage, ship
 from loomgraph.llm.html_tree import BLOCKS, RAW, SPACE, Node, hash_subtrees, parse
 from loomgraph.llm.url_filter import with_host_and_path
 
-#: A subtree is template from so many pages of its host on, and from such a share of them.
+#: A subtree is template from so many pages of its host on; one that reads like an article, from such a share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.2
+#: Words of a block of running text, and of all such blocks of a subtree that reads like an article.
+RUNNING, PROSE = 10, 50
 #: Templates sent to the tasks at once (16 bytes each).
 PART = 1_000_000
 
@@ -136,18 +141,39 @@ def _read(roots: list[Node]) -> str:
     return "\n\n".join(t for t in texts if t)
 
 
-def template_hashes(page: str) -> set[int]:
-    """Hashes of the subtrees of a page that can be template."""
+def _containers(root: Node) -> dict[int, bool]:
+    """The hashes of the subtrees that can be template, and whether they read like an article (those only if they
+    hold at most half of the page)."""
+    prose: dict[int, int] = {}
+    out: dict[int, bool] = {}
+    for x in reversed(list(root.walk())):
+        n = 0
+        own = 0
+        for c in x.children:
+            if isinstance(c, str):
+                own += len(c.split())
+            else:
+                n += PROSE if c.tag in ("article", "main", "h1") else prose[id(c)]
+        prose[id(x)] = n + (own if own >= RUNNING and x.tag not in ("a", "li", "option") and x.tag not in RAW else 0)
+        if x.tag in CONTAINERS:
+            article = prose[id(x)] >= PROSE
+            if not article or x.size <= root.size / 2:
+                out[x.hash] = article
+    return out
+
+
+def template_hashes(page: str) -> dict[int, bool]:
+    """Hashes of the subtrees of a page that can be template, and whether they read like an article."""
     root = parse(page)
     hash_subtrees(root)
-    return {x.hash for x in root.walk() if x.tag in CONTAINERS and x.size <= root.size / 2}
+    return _containers(root)
 
 
 def main_text(page: str, template: frozenset | set = frozenset()) -> str:
     root = parse(page)
     if template:
         hash_subtrees(root)
-        template = {x.hash for x in root.walk() if x.hash in template and x.tag in CONTAINERS and x.size <= root.size / 2}
+        template = _containers(root).keys() & template
     _cut(root, template)
     return _read(_roots(root))
 
@@ -162,18 +188,19 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            host, found = [], []
+            host, found, article = [], [], []
             for h, page in zip(pdf["host"], pdf["html"], strict=True):
-                got = [x - (1 << 63) for x in template_hashes(page)]
+                got = template_hashes(page)
                 host += [h] * (len(got) + 1)
-                found += [None, *got]  # null stands for the page itself
-            yield pd.DataFrame({"host": host, "hash": pd.array(found, dtype="Int64")})
+                found += [None, *(x - (1 << 63) for x in got)]  # null stands for the page itself
+                article += [False, *got.values()]
+            yield pd.DataFrame({"host": host, "hash": pd.array(found, dtype="Int64"), "article": article})
 
-    seen = pages.filter("host is not null").select("host", "html").mapInPandas(hashes, "host string, hash long")
-    counted = stage.write(seen.groupBy("host", "hash").agg(F.count("*").alias("n")), "counts")
+    seen = pages.filter("host is not null").select("host", "html").mapInPandas(hashes, "host string, hash long, article boolean")
+    counted = stage.write(seen.groupBy("host", "hash").agg(F.count("*").alias("n"), F.max("article").alias("article")), "counts")
     total = counted.filter("hash is null").select(F.col("host").alias("h"), F.col("n").alias("pages"))
     template = counted.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(total, F.col("host") == F.col("h"))
-    template = stage.write(template.filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
+    template = stage.write(template.filter(~F.col("article") | (F.col("n") >= min_share * F.col("pages"))).select("host", "hash"), "template")
 
     def read(held):
         def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -37,3 +37,16 @@ def test_site_templates_go_and_paragraphs_stay(spark):
     rows = html_text.extract(df).filter("page_id = 0").head()
     assert rows["n_chars"] == len(rows["text"])
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_templates_of_a_small_share_of_a_large_host_go(spark):
+    box = "<div><p>Read the other stories</p><ul><li>one</li><li>two</li></ul></div>"
+    copied = "<div><h1>Copied</h1><p>" + "This article stands under several addresses of the site. " * 8 + "</p></div>"
+    menu = "<div><ul>" + "".join(f"<li>section {i}</li>" for i in range(60)) + "</ul></div>"
+    pages = [(i, f"<body><div><h1>Title {i}</h1>{box if i < 6 else ''}<p>Text number {i}.</p></div>{menu if 6 <= i < 12 else ''}</body>") for i in range(100)]
+    pages += [(200 + i, f"<body>{copied}<p>{i}</p></body>") for i in range(6)]
+    df = spark.createDataFrame([(i, f"http://a.com/{i}", h) for i, h in pages], "page_id long, url string, html string")
+    for part in (1_000_000, 1):
+        got = {r["page_id"]: r["text"] for r in html_text.extract(df, part=part).collect()}
+        assert all(got[i] == f"Title {i}\n\nText number {i}." for i in range(100))
+        assert all(got[200 + i].startswith("Copied\n\nThis article") for i in range(6))
