@@ -5,8 +5,8 @@ columns; the last returns the packed pieces.  Between stages documents are writt
 folder and read again.
 
 Defined cases: those of the operators; further, a document that line dedup empties is a copy and goes; of a group
-of near duplicates, and of rows that repeat a doc_id, one stays; rows without a doc_id cannot be joined and leave
-before mixing.  An empty table passes through all stages.
+of near duplicates, and of rows equal in doc_id and text, one stays; rows that share a doc_id are documents each; rows
+without a doc_id are not compared for near duplicates, and get numbers beyond the largest doc_id before mixing.  An empty table passes through all stages.
 
 No SQL can express the classifier or the packing plan, so ORACLE_SQL is None and the tests hold each stage
 against a brute-force version."""
@@ -36,20 +36,35 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+def own_ids(docs: DataFrame, stage: Stage) -> DataFrame:
+    """docs with a doc_id of its own for each row, and __id, the one it came with: rows that share a doc_id or have none
+    are numbered beyond the largest."""
+    first = max(0, docs.agg(F.max("doc_id")).head()[0] or 0) + 1
+    nth = F.col("__key")["nth"]
+    keyed = line_dedup.with_keys(docs, stage).withColumn("__id", F.col("doc_id").cast("string"))  # pandas keeps nulls in strings
+    return keyed.withColumn("doc_id", F.when(nth < 0, F.col("doc_id")).otherwise(F.lit(first) + nth)).drop("__key")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near duplicates."""
+    """The document with the least number of each group of near duplicates; of rows equal in doc_id and text, one."""
     stage = Stage(spark, "near")
-    classes = jaccard_join.jaccard_classes(docs, SHINGLE, PERCENT)
-    gone = stage.write(classes.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    out = docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti").select(docs.columns)
-    twice = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if twice else out
+    own = own_ids(docs, stage)
+    known = own.filter("__id is not null")
+    classes = jaccard_join.jaccard_classes(known.drop("__id"), SHINGLE, PERCENT)
+    near = classes.filter("doc_id <> component_id").select("doc_id")
+    shared = known.filter(F.col("doc_id").cast("string") != F.col("__id")).select("doc_id", "__id", F.md5("text").alias("digest"))
+    one = shared.groupBy("__id", "digest").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    equal = shared.select("doc_id").join(one, "doc_id", "left_anti")
+    gone = stage.write(near.unionAll(equal).distinct(), "gone")
+    out = own.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti")
+    return out.withColumn("doc_id", F.col("__id").cast("long")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as much of them, as their source's target takes."""
-    docs = docs.filter("doc_id is not null")
-    return mixing.apply_mix(docs, mixing.mix(docs))
+    own = own_ids(docs, Stage(spark, "mix"))
+    out = mixing.apply_mix(own, mixing.mix(own))
+    return out.withColumn("doc_id", F.coalesce(F.col("__id").cast("long"), "doc_id")).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,14 +35,14 @@ MIN_WORDS = 20
 BROADCAST_IDS = 200_000
 
 
-def _with_keys(docs: DataFrame, stage: Stage) -> DataFrame:
+def with_keys(docs: DataFrame, stage: Stage) -> DataFrame:
     """docs plus __key (none, id, nth), which tells all rows apart: in order of doc_id, of rows of one doc_id in order of
     their content, rows without a doc_id last.
 
-    Only rows without a doc_id of their own are sorted, by range partitions, and written."""
+    nth is -1 where the doc_id is the row's own.  Only rows without one are sorted, by range partitions, and written."""
     counts = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
     twice = small(stage.write(counts.filter("n > 1").select("doc_id"), "twice"), BROADCAST_IDS)
-    own = docs.filter("doc_id is not null").join(twice, "doc_id", "left_anti").select("*", F.lit(0).cast("long").alias("__nth"))
+    own = docs.filter("doc_id is not null").join(twice, "doc_id", "left_anti").select("*", F.lit(-1).cast("long").alias("__nth"))
     rest = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     order = ["doc_id", "__text", "__row", "__any"]
     shared = docs.join(twice, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id is null"))
@@ -155,7 +155,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_row: bool = F
     key = "__key" if every_row else "doc_id"
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     if every_row:
-        docs = _with_keys(docs, Stage(docs.sparkSession, "rows"))
+        docs = with_keys(docs, Stage(docs.sparkSession, "rows"))
     gone = repeated_lines(docs, min_words, key).select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
     joined = docs.join(gone, F.col(key) == F.col("__doc"), "left")
     lines = F.split("text", "\n", -1)

@@ -40,3 +40,16 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert BASE and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_rows_without_an_id_of_their_own_stay(spark):
+    text = [" ".join(f"t{i}w{j}" for j in range(40)) for i in range(6)]
+    rows = [(1, text[0]), (2, text[1]), (2, text[2]), (2, text[2]), (3, text[1]), (None, text[3]), (None, text[4]), (4, text[5])]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    near = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    near = spark.createDataFrame(near.collect(), df.schema)
+    assert sorted(r["text"] for r in near.collect()) == sorted(text)
+    assert near.filter("doc_id is null").count() == 2
+    mixed = corpus_pipeline.mix_sources(spark, near, "").collect()
+    assert {t for t in text for r in mixed if r["text"].split()[0] in t.split()} == set(text)
+    assert len({r["doc_id"] for r in mixed if r["doc_id"] > 4}) == 2
