@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.sources.staging import reliable
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hangs the larger (or the smaller) neighbours of each node, and in small steps the node, on its least neighbour."""
@@ -20,15 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _reliable(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the session names, or in our own where it names none."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/loomgraph-engine")
-    return df.checkpoint()
-
-
-def components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = _reliable) -> DataFrame:
+def components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = reliable) -> DataFrame:
     """node, component (its least node) for every node of ``edges`` (a, b).
 
     Each step is one shuffled aggregate and join; ``cut`` cuts its lineage.  The number of rounds grows with the

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.sources.staging import reliable
+
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """slug, title, path, requires from a JSON object keyed by slug."""
@@ -24,14 +26,11 @@ def reachable(deps: DataFrame, start: DataFrame, most_rounds: int = 1000) -> Dat
 
     A frontier of new pairs only is joined in each round, and written to reliable checkpoints, so that shared parts of
     a dense graph are walked once."""
-    spark = deps.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/loomgraph-engine")
-    seen = start.select("origin", "pack").distinct().checkpoint()
+    seen = reliable(start.select("origin", "pack").distinct())
     new = seen
     for _ in range(most_rounds):
         step = new.join(deps, "pack").select("origin", F.col("requires").alias("pack")).distinct()
-        new = step.join(seen, ["origin", "pack"], "left_anti").checkpoint()
+        new = reliable(step.join(seen, ["origin", "pack"], "left_anti"))
         if new.isEmpty():
             return seen
         seen = seen.union(new)
