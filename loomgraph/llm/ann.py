@@ -1,19 +1,24 @@
 """Approximate nearest neighbours by low-dimensional stable projections, indexed by a kd-tree.
 
-Largest inner product becomes least Euclidean distance by one more component, sqrt(M^2 - |x|^2) for a row of
-norm |x| below the largest norm M, and 0 for a query.  Rows and queries are projected by one Gaussian
-(2-stable) matrix to a few dimensions, where a kd-tree over all rows of a block yields leaves in order of
-their distance from the query.  Rows are verified with their original vectors, leaf by leaf, until the
-chi-square test holds: for a row at distance d the squared projected distance over d^2 follows the chi-square
-law with as many degrees of freedom as dimensions, so once the next leaf is so far that a row as near as the
-k-th found would lie beyond it with probability 1 - ``SURE`` at most, the search stops.
-
-Equal vectors of a block are indexed once, with all their ids.  Candidates are held by single-precision scores; where
-these, with their error bound, do not settle which vectors are the k best of those read, all of them are scored again.
+Rows are dealt to blocks by their norms, and a block is cut in shells within which norms differ by a factor of two
+at most.  In a shell, scaled to a longest norm of 1, largest inner product becomes least Euclidean distance by one more
+component, sqrt(1 - |x|^2) for a row and 0 for a query of norm 1.  Rows and queries are projected by one Gaussian
+(2-stable) matrix to a few dimensions, where a kd-tree over all rows of the shell yields them one after another in order
+of their projected distance: leaves are opened nearest first, and a row is due once no closed leaf can hold a nearer one.
+Rows that are due are verified with their original vectors until the chi-square test holds: for a row at
+distance d the squared projected distance over d^2 follows the chi-square law with as many degrees of freedom as
+dimensions, so once the next row is so far that one as near as the k-th found would lie beyond it with
+probability 1 - ``SURE`` at most, the search stops.  The k-th of all blocks read so far counts, and a shell whose longest
+vector cannot reach it is not opened.
+
+Equal vectors of a block are indexed once, with all their ids; scores are sums of doubles, row by row, so that equal
+vectors score alike in all blocks.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
 with a null id; shorter vectors count as ending in zeros; ties go to the smaller id; repeated rows are
-candidates each; an empty table gives an empty result; with fewer candidates than k all are returned."""
+candidates each; an empty table gives an empty result; with fewer candidates than k all are returned; an inner product
+beyond the range of doubles counts, and is returned, as an infinity of its sign; other columns of the input, whatever their
+names, are ignored."""
 
 from __future__ import annotations
 
@@ -21,11 +26,14 @@ import math
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from loomgraph.llm.vectors import search
+from loomgraph.llm.vectors import Best, search
 
-#: Projected dimensions (even), rows of a leaf, certainty of the stopping test for one neighbour, leaves read at a time.
-DIMS, LEAF, SURE, STEP = 8, 64, 0.9, 4
+#: Projected dimensions (even; at most half of a vector's), rows of a leaf, certainty of the stopping test for one neighbour.
+DIMS, LEAF, SURE = 32, 64, 0.88
+#: Leaves opened at first, and rows verified between two tests at first; either doubles.
+OPEN, CHUNK = 8, 32
 SEED = 7
 
 
@@ -75,90 +83,130 @@ def distinct(ids: np.ndarray, x: np.ndarray):
 
 def _others(ids: np.ndarray, own: int, k: int) -> np.ndarray:
     """The first k of the sorted ids that are not ``own``."""
-    if len(ids) == 1:
-        return ids if ids[0] != own else ids[:0]
     a, b = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
     return np.concatenate([ids[: min(a, k)], ids[b : b + max(0, k - a)]])
 
 
-def index(ids: np.ndarray, x: np.ndarray, square: float):
-    """The index of a block; see ``vectors.search``."""
-    x, ids, start, stop = distinct(ids, x)
-    least, most = ids[start], ids[stop - 1]
-    n, dim = x.shape
-    rng = np.random.default_rng(SEED)
-    projection = rng.standard_normal((dim + 1, DIMS))
-    lift = np.sqrt(np.maximum(square - (x * x).sum(axis=1), 0.0))
-    points = x @ projection[:dim] + lift[:, None] * projection[dim]
-    leaves = kd_leaves(points, LEAF)
-    size = max(len(r) for r in leaves)
-    low, high = np.array([points[r].min(axis=0) for r in leaves]), np.array([points[r].max(axis=0) for r in leaves])
-    member = np.full((len(leaves), size), -1)
-    for row, r in zip(member, leaves, strict=True):
-        row[: len(r)] = r
-    longest = math.sqrt(square)
-    held = (x / longest).astype(np.float32)[member]  # leaf by leaf, for quick reading; scores are taken from x
-    error = 1.01 * (dim + 4) * 2.0**-24 + dim * 2.0**-120  # of a single-precision score of vectors of length 1 at most
-    limit = chi_square_quantile(SURE, DIMS)
-
-    def ask(q_ids: np.ndarray, q: np.ndarray, k: int):
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for a in range(0, len(q), 64):
-            out += _batch(q_ids[a : a + 64], q[a : a + 64], k)
-        return tuple(np.concatenate(p) for p in zip(*out, strict=True))
-
-    def _batch(q_ids, q, k):
-        at = q @ projection[:dim]
-        gap = np.maximum(np.maximum(low[None] - at[:, None], at[:, None] - high[None]), 0.0)
-        far = (gap * gap).sum(axis=2)
-        order = np.argsort(far, axis=1, kind="stable")
-        length = np.sqrt((q * q).sum(axis=1))
-        norm = length * length + square  # distance^2 = norm - 2 * inner product
-        q32, keep = (q / length[:, None]).astype(np.float32), k + 8
-        scores, rows = np.full((len(q), keep), -np.inf, np.float32), np.full((len(q), keep), -1)
-        read = np.full(len(q), len(leaves))
-        active = np.arange(len(q))
-        for t in range(0, len(leaves), STEP):
-            near = order[active, t : t + STEP]
-            r = member[near].reshape(len(active), -1)
-            s = np.matmul(held[near].reshape(len(active), -1, dim), q32[active, :, None])[:, :, 0]
-            own = q_ids[active, None]
-            s[(r < 0) | ((least[r] == own) & (most[r] == own))] = -np.inf
-            s, r = np.concatenate([scores[active], s], axis=1), np.concatenate([rows[active], r], axis=1)
-            best = np.argpartition(-s, keep - 1, axis=1)[:, :keep]
-            scores[active], rows[active] = np.take_along_axis(s, best, 1), np.take_along_axis(r, best, 1)
-            if t + STEP >= len(leaves):
-                break
-            kth = -np.sort(-scores[active], axis=1)[:, k - 1].astype(float) - error
-            beyond = far[active, order[active, t + STEP]]
-            ends = beyond > limit * np.maximum(norm[active] - 2 * kth * length[active] * longest, 0.0)
-            read[active[ends]] = t + STEP
-            active = active[~ends]
-            if not len(active):
-                break
-        out = []
-        for i, own in enumerate(q_ids):
-            s = -np.sort(-scores[i].astype(float))
-            if s[-1] >= s[k - 1] - 2 * error and np.isfinite(s[-1]):
-                r = member[order[i, : read[i]]].ravel()
-                r = r[r >= 0]
-                r = r[(least[r] != own) | (most[r] != own)]
-            else:
-                r = rows[i][np.isfinite(scores[i])]
-            exact = (x[r] * q[i]).sum(axis=1)  # row by row, so that equal vectors score alike in all blocks
-            if len(r) > k:
-                near = exact >= np.partition(exact, len(r) - k)[len(r) - k]
-                r, exact = r[near], exact[near]
-            found = [_others(ids[start[j] : stop[j]], own, k) for j in r]
-            exact = np.repeat(exact, [len(f) for f in found])
-            found = np.concatenate([np.zeros(0, np.int64), *found])
-            best = np.lexsort((found, -exact))[:k]
-            out.append((np.full(len(best), own), found[best], exact[best]))
-        return out
-
-    return ask
+def norms(x: np.ndarray) -> np.ndarray:
+    """Without overflow."""
+    top = np.abs(x).max(axis=1, initial=0.0)
+    unit = x / np.where(top > 0, top, 1.0)[:, None]
+    with np.errstate(over="ignore"):
+        return top * np.sqrt((unit * unit).sum(axis=1))
+
+
+class Shell:
+    """Rows whose norms differ by a factor of two at most."""
+
+    def __init__(self, x: np.ndarray, rows: np.ndarray, norm: np.ndarray, dims: int):
+        dim = x.shape[1]
+        #: A power of two, so that scaling loses nothing; norms beyond the range of doubles count as the largest.
+        self.scale = math.ldexp(1.0, min(1023, math.frexp(min(norm.max(), np.finfo(float).max))[1]))
+        unit = x[rows] / self.scale
+        square = (unit * unit).sum(axis=1)
+        self.longest = math.sqrt(square.max())
+        unit, square = unit / self.longest, square / square.max()
+        self.projection = np.random.default_rng(SEED).standard_normal((dim + 1, dims))
+        points = unit @ self.projection[:dim] + np.sqrt(np.maximum(1 - square, 0.0))[:, None] * self.projection[dim]
+        leaves = kd_leaves(points, LEAF)
+        order = np.concatenate(leaves)
+        self.rows, self.points = rows[order], points[order]
+        self.stop = np.cumsum([len(r) for r in leaves])
+        self.start = self.stop - [len(r) for r in leaves]
+        self.low = np.array([points[r].min(axis=0) for r in leaves])
+        self.high = np.array([points[r].max(axis=0) for r in leaves])
+
+
+class Index:
+    """The index of a block; ``verified`` counts the rows scored with their original vectors."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, dims: int = DIMS, sure: float = SURE):
+        self.x, self.ids, self.start, self.stop = distinct(ids, x)
+        dims = max(2, min(dims, x.shape[1] // 4 * 2))
+        self.limit, self.verified = chi_square_quantile(sure, dims), 0
+        norm = norms(self.x)
+        order = np.argsort(-norm, kind="stable")
+        self.shells = []
+        while len(order):
+            n = max(1, int(np.searchsorted(-norm[order], -norm[order[0]] / 2)))
+            self.shells.append(Shell(self.x, order[:n], norm[order[:n]], dims))
+            order = order[n:]
+
+    def search(self, q_ids: np.ndarray, q: np.ndarray, best: Best) -> None:
+        for i, (own, v) in enumerate(zip(q_ids, q, strict=True)):
+            for shell in self.shells:
+                self._shell(shell, i, own, v, best)
+
+    def _score(self, rows: np.ndarray, v: np.ndarray) -> np.ndarray:
+        self.verified += len(rows)
+        x = self.x[rows]
+        with np.errstate(over="ignore", invalid="ignore"):
+            s = (x * v).sum(axis=1)
+            if not np.isfinite(s).all():  # scaled down before the sum, and up again after it
+                a, b = math.ldexp(1.0, -520), math.ldexp(1.0, 520)
+                s = np.where(np.isfinite(s), s, ((x * a) * (v * a)).sum(axis=1) * b * b)
+        return s
+
+    def _beyond(self, shell: Shell, i: int, length: float, best: Best) -> float:
+        """The squared projected distance at which the test holds; -1 if no row of the shell can reach the k-th."""
+        kth = best.kth(i)
+        if kth is None:
+            return math.inf
+        square = 2 - 2 * max(-1.0, kth / (shell.longest * shell.scale) / length)  # of the k-th so far, in the shell's geometry
+        return -1.0 if square < -1e-9 else self.limit * max(square, 1e-12)
+
+    def _shell(self, shell: Shell, i: int, own: int, v: np.ndarray, best: Best) -> None:
+        length = float(norms(v[None])[0])
+        if self._beyond(shell, i, length, best) < 0:
+            return
+        unit = v / max(abs(v.max()), abs(v.min()))
+        unit = unit / math.sqrt((unit * unit).sum())
+        at = unit @ shell.projection[:-1]
+        gap = np.maximum(np.maximum(shell.low - at, at - shell.high), 0.0)
+        far = (gap * gap).sum(axis=1)
+        order = np.argsort(far, kind="stable")
+        waiting, distance = np.zeros(0, np.int64), np.zeros(0)
+        opened, step, chunk = 0, OPEN, CHUNK
+        while True:
+            if opened < len(order):
+                new = np.concatenate([np.arange(shell.start[j], shell.stop[j]) for j in order[opened : opened + step]])
+                opened, step = opened + step, step * 2
+                d = shell.points[new] - at
+                waiting, distance = np.concatenate([waiting, new]), np.concatenate([distance, (d * d).sum(axis=1)])
+            bound = far[order[opened]] if opened < len(order) else math.inf
+            due = distance <= bound
+            rows, d = waiting[due], distance[due]
+            waiting, distance = waiting[~due], distance[~due]
+            nth = np.argsort(d, kind="stable")
+            rows, d = rows[nth], d[nth]
+            while len(rows):
+                n = int(np.searchsorted(d[:chunk], self._beyond(shell, i, length, best), "right"))
+                self._verify(shell.rows[rows[:n]], i, own, v, best)
+                if n < min(chunk, len(rows)):
+                    return
+                rows, d, chunk = rows[n:], d[n:], chunk * 2
+            if bound == math.inf or bound > self._beyond(shell, i, length, best):
+                return
+
+    def _verify(self, rows: np.ndarray, i: int, own: int, v: np.ndarray, best: Best) -> None:
+        score = self._score(rows, v)
+        kth = best.kth(i)
+        if kth is not None:
+            near = score >= kth
+            rows, score = rows[near], score[near]
+        # Of many rows that hold an id beside the query's own, those count that reach the k-th of them.
+        a, b = self.start[rows], self.stop[rows]
+        there = (b - a > 1) | (self.ids[a] != own)
+        rows, score = rows[there], score[there]
+        if len(rows) > best.k:
+            near = score >= np.partition(score, len(score) - best.k)[len(score) - best.k]
+            rows, score = rows[near], score[near]
+        found = [_others(self.ids[self.start[j] : self.stop[j]], own, best.k) for j in rows]
+        if found:
+            best.add(i, np.concatenate(found), np.repeat(score, [len(f) for f in found]))
 
 
 def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score."""
-    return search(table, every, k, False, "near", index)
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v))
+    return search(table, every, k, False, "near", Index, F.desc(F.round(F.log2(norm), 1)))

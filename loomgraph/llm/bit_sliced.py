@@ -8,24 +8,45 @@ less twice the bound; those boundary rows alone are scored exactly.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows with a
 null id; shorter vectors count as ending in zeros; ties go to the smaller id; repeated rows are candidates
-each; an empty table gives an empty result; with fewer candidates than k all are returned."""
+each; an empty table gives an empty result; with fewer candidates than k all are returned.  Any finite component takes part:
+quantised values and scores beyond 64 bits are Python's integers, and a score beyond the range of a long counts, and is returned,
+as the nearest long.  Other columns of the input, whatever their names, are ignored."""
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from loomgraph.llm.vectors import search
+from loomgraph.llm.vectors import Best, search
 
 #: Bits of an attribute, and of a query's component, that enter the coarse sum.
 ROW_BITS, QUERY_BITS = 7, 6
 SCALE = 1024
 
 
+#: A score is a long.
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
 def quantised(x: np.ndarray) -> np.ndarray:
-    return np.floor(SCALE * x).astype(np.int64)
+    """As 64-bit integers, if all fit, else as Python's."""
+    if np.abs(x).max(initial=0.0) < 2.0**52:
+        return np.floor(SCALE * x).astype(np.int64)
+    floor = lambda v: math.floor(SCALE * v) if abs(v) < 2.0**52 else SCALE * int(v)  # noqa: E731  larger doubles are whole
+    return np.array([[floor(v) for v in row] for row in x.tolist()], object).reshape(x.shape)
+
+
+def _narrow(x: np.ndarray, bits: int) -> np.ndarray:
+    """As 64-bit integers if ``bits`` are enough for whatever is made of them."""
+    return x.astype(np.int64) if bits < 63 else x.astype(object)
+
+
+def _bits(x: np.ndarray) -> int:
+    """Of the largest absolute value."""
+    return max(int(x.max(initial=0)).bit_length(), int(-x.min(initial=0)).bit_length())
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -94,55 +115,62 @@ class Slices:
         return more | equal
 
 
-def index(ids: np.ndarray, x: np.ndarray, _square: float):
-    """The index of a block; see ``vectors.search``."""
-    x = quantised(x)
-    n, dim = x.shape
-    low = x.min(axis=0)
-    raised = x - low  # from 0 on
-    shift = _shift(raised.max(initial=0), ROW_BITS)
-    coarse = raised >> shift
-    slices = [_pack((coarse[:, d, None] >> np.arange(ROW_BITS)) & 1 > 0) for d in range(dim)]
-    words = -(-n // 64)
-    there = _pack(np.ones((n, 1), bool))[0]
-    times = Counter(ids.tolist())
-
-    def ask(q_ids: np.ndarray, q: np.ndarray, k: int):
+class Index:
+    """The index of a block."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.x = ids, quantised(x)
+        n, dim = x.shape
+        self.low = self.x.min(axis=0)
+        raised = _narrow(self.x, _bits(self.x) + 1) - self.low  # from 0 on
+        self.shift = _shift(raised.max(initial=0), ROW_BITS)
+        coarse = (raised >> self.shift).astype(np.int64)
+        self.slices = [_pack((coarse[:, d, None] >> np.arange(ROW_BITS)) & 1 > 0) for d in range(dim)]
+        self.there = _pack(np.ones((n, 1), bool))[0]
+        self.times = Counter(ids.tolist())
+
+    def search(self, q_ids: np.ndarray, q: np.ndarray, best: Best) -> None:
         q = quantised(q)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for own, v in zip(q_ids, q, strict=True):
+        x, dim = self.x, q.shape[1]
+        wide = _bits(x) + _bits(q) + dim.bit_length()
+        x, q, low = _narrow(x, wide), _narrow(q, wide), _narrow(self.low, wide)
+        n, words = len(x), len(self.there)
+        for i, (own, v) in enumerate(zip(q_ids, q, strict=True)):
             # score = sum v * x, and x = low + raised: only sum v * raised differs between rows.  A component below 0
             # counts as -v times the complement.
-            up = _shift(np.abs(v).max(initial=0), QUERY_BITS)
-            c = np.abs(v) >> up
+            size = np.abs(v)
+            up = _shift(size.max(initial=0), QUERY_BITS)
+            c = size >> up
             total = Slices(ROW_BITS + QUERY_BITS + int(dim).bit_length() + 1, words)
             for d in np.flatnonzero(c):
-                s = slices[d] if v[d] > 0 else ~slices[d]
+                s = self.slices[d] if v[d] > 0 else ~self.slices[d]
                 for b in range(QUERY_BITS):
                     if c[d] >> b & 1:
                         total.add(s, b)
-            unit = 1 << (shift + up)
-            bound = _bound(np.abs(v), c, shift, up, ROW_BITS)
-            least = total.kth(min(k + times[int(own)], n), there) - -(-bound // unit)
-            rows = np.flatnonzero(np.unpackbits(total.at_least(least, there).view(np.uint8), bitorder="little")[:n])
-            rows = rows[ids[rows] != own]
+            unit = 1 << (self.shift + up)
+            slack = -(-_bound(size, c, self.shift, up, ROW_BITS) // unit)
+            least = total.kth(min(best.k + self.times[int(own)], n), self.there)
+            # The sum of a row with the k-th score of the blocks before, or with a score that no long exceeds.
+            base = sum(int(a) * int(b) for a, b in zip(v, low, strict=True)) - sum(int(a) * (((1 << ROW_BITS) - 1) << self.shift) for a in size[v < 0])
+            before = best.kth(i)
+            if before is not None and before > LEAST:
+                least = max(least, (int(before) - base) // unit)
+            least = min(least, (MOST - base) // unit)
+            rows = np.flatnonzero(np.unpackbits(total.at_least(least - slack, self.there).view(np.uint8), bitorder="little")[:n])
+            rows = rows[self.ids[rows] != own]
             score = x[rows] @ v
-            best = np.lexsort((ids[rows], -score))[:k]
-            out.append((np.full(len(best), own), ids[rows][best], score[best]))
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return tuple(np.concatenate(p) for p in zip(*out, strict=True))
-
-    return ask
+            if score.dtype == object:
+                score = np.array([min(MOST, max(LEAST, int(s))) for s in score], np.int64)
+            best.add(i, self.ids[rows], score)
 
 
 def _bound(v: np.ndarray, c: np.ndarray, shift: int, up: int, bits: int) -> int:
     """How far apart the errors of two rows' coarse sums can be: |v| times what the row's lower bits hold, and
     what the query's lower bits hold times the row's range."""
-    rest = int(((v - (c << up)) * (((1 << bits) - 1) << shift)).sum())
-    return int((v * ((1 << shift) - 1)).sum()) + rest
+    rest = sum(int(a) - (int(b) << up) for a, b in zip(v, c, strict=True)) * (((1 << bits) - 1) << shift)
+    return sum(map(int, v)) * ((1 << shift) - 1) + rest
 
 
 def top_k(table: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score."""
-    return search(table, every, k, True, "bits", index)
+    return search(table, every, k, True, "bits", Index)

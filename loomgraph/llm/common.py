@@ -4,17 +4,26 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loomgraph.sources.staging import shared_dir
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of a batch for a Python worker.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+#: Bytes up to which a table is broadcast.
+BROADCAST_BYTES = 16 << 20
+
 _shipped: set[str] = set()
 
 
@@ -23,12 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that their Python workers can import it."""
+    """Sends this package to the executors once per application, so that their Python workers can import it, and bounds the
+    batches that they are sent by bytes (the bound of records alone would let long texts fill a worker)."""
+    most = int(spark.conf.get(BATCH_CONF, str(BATCH_BYTES)).rstrip("b"))
+    if not 0 < most <= BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     top = Path(__file__).resolve().parent.parent
-    target = os.path.join(tempfile.mkdtemp(prefix="loomgraph-code-"), "loomgraph.zip")
+    folder = tempfile.mkdtemp(prefix="loomgraph-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "loomgraph.zip")
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(top.rglob("*.py")):
             z.write(p, p.relative_to(top.parent).as_posix())
@@ -36,16 +51,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file:/tmp/checkpoints/loomgraph"
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -56,13 +61,24 @@ class Stage:
     """Tables written to the shared folder to cut lineage.
 
     A lost executor loses none of them.  ``drop`` removes those that nothing lazy still reads; the
-    rest go when the driver ends."""
+    rest go when the driver ends, or when ``clear`` is called after the results have been written.  All lie below one
+    folder per application, by which the tables of a killed driver can be told and removed."""
+
+    made: list[Stage] = []
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        Stage.made.append(self)
         atexit.register(self._clean)
 
+    @classmethod
+    def clear(cls, since: int = 0) -> None:
+        """Removes the tables of all stages from a number in ``made`` on."""
+        for s in cls.made[since:]:
+            s._clean()
+        del cls.made[since:]
+
     def _clean(self) -> None:
         try:
             _remove(self.spark, self.root)
@@ -87,12 +103,26 @@ class Stage:
                 _remove(self.spark, path)
 
 
-def few(df: DataFrame, most: int) -> bool:
-    """Whether a table has at most ``most`` rows: the check before any broadcast."""
-    return df.limit(most + 1).count() <= most
+def _bytes(df: DataFrame) -> Column:
+    """About as many as a row takes in memory."""
+    def of(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 24
+        if isinstance(kind, T.StructType):
+            return sum((of(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+        if isinstance(kind, T.ArrayType):
+            return F.lit(16) + F.coalesce(F.size(c), F.lit(0)) * 24
+        return F.lit(8)
+
+    return sum((of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(32))
+
+
+def few(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most ``most`` bytes: the check before any broadcast."""
+    return (df.agg(F.sum(_bytes(df).cast("long"))).head()[0] or 0) <= most
 
 
-def small(df: DataFrame, most: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is (a shuffled join, which
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` bytes, else as it is (a shuffled join, which
     adaptive execution splits where a key is hot)."""
     return F.broadcast(df) if few(df, most) else df

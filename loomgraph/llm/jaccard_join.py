@@ -1,13 +1,14 @@
 """N-gram Jaccard self-join by a token-group matrix.
 
-Documents with the same shingle set are one class.  Classes are put in groups of similar ones; for each group
-the union of its members' tokens is kept (one row per token and group: the token-group matrix); how many
-tokens of a class the matrix row of a group holds bounds its overlap with every member from above, and only
+Documents with the same shingle set are one class, with a number of its own.  Classes are put in groups of similar ones; for
+each group the union of those tokens of its members that can decide is kept (one row per token and group: the token-group
+matrix); how many tokens of a class the matrix row of a group holds bounds its overlap with every member from above, and only
 groups that reach the bound are opened and their members compared, token by token and then exactly.
 
-Which tokens enter the matrix: in any fixed order of all tokens, two sets of n and m tokens that overlap in t
-share at least l of the first n - t + l of one and m - t + l of the other, and t follows from the similarity and
-the two sizes.  The order puts tokens that many documents hold last (common lines and
+Which tokens can decide, and why the bound holds without the others: in any fixed order of all tokens, two sets of n and m
+tokens that overlap in t share at least l of the first n - t + l of one and m - t + l of the other, and t follows from the
+similarity and the two sizes.  So the union of the members' first tokens is enough: whoever shares fewer than l of them with
+a group is similar to no member.  The order puts tokens that many documents hold last (common lines and
 passages), so that a token in the matrix has few holders unless the documents themselves are alike.
 
 How groups come about: each token points from its holders to the least of them.  Such pairs are verified
@@ -16,9 +17,9 @@ one comparison for each copy rather than for each pair, and as links are only as
 components, pairs within a group need none.  Between groups no pair is passed over that can be similar.
 
 Defined cases: a null text, or one without words, has no shingles and links with nothing; with fewer words
-than a shingle the whole sequence is one; texts are whole; repeated rows are copies; rows that share a doc_id
-are one document; rows with a null doc_id get a null component; an empty table gives an empty result; other
-columns are ignored."""
+than a shingle the whole sequence is one; texts are whole; repeated rows are copies; rows that share a doc_id are
+linked, whatever their texts (n_shingles is each row's own); rows with a null doc_id take part, and a component of such rows
+alone has a null id; an empty table gives an empty result; other columns, whatever their names, are ignored."""
 
 from __future__ import annotations
 
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import Stage, few, ship
+from loomgraph.llm.common import Stage, ship, small
 from loomgraph.llm.shingles import shingles
 from loomgraph.operators.components import components
 
@@ -38,9 +39,7 @@ from loomgraph.operators.components import components
 COMMON, MOST_COMMON = 16, 1_000_000
 #: In a run of so many tokens of a task, those that come so often are reported; of the tokens with the lowest hashes,
 #: which come first among rare ones, those that come twice.
-RUN, OFTEN, LOWEST = 4_000_000, 4, int(0.3 * 2**64)
-#: Ids up to which a semi-join with the texts is broadcast.
-BROADCAST_IDS = 500_000
+RUN, OFTEN, LOWEST = 1_000_000, 3, int(0.3 * 2**64)
 
 
 def common_tokens(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,21 +103,30 @@ def first_tokens(s: np.ndarray, common: np.ndarray, times: np.ndarray, percent:
     return np.concatenate([rare, last[: length - len(rare)]])
 
 
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def _as_sets(docs: DataFrame, n: int) -> DataFrame:
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"], "tokens": [shingles(t, n).view(np.int64) for t in pdf["text"]]})
-
-    return docs.select("doc_id", "text").mapInPandas(go, "id long, tokens array<long>")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
-    """Those of the pairs (a, b) that are similar, by their whole sets."""
-    ids = stage.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    wanted = docs.join(F.broadcast(ids) if few(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi")
-    sets = stage.write(_as_sets(wanted, n).dropDuplicates(["id"]), "sets")
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = left.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a")
+            sets = [shingles(t, n) for t in pdf["text"]]
+            yield pd.DataFrame({"digest": [_digest(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]})
+
+    return docs.select("text").mapInPandas(go, "digest binary, tokens array<long>")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
+    """Those of the pairs (a, b) of classes that are similar, by their whole sets, read from the texts of one document each."""
+    ids = stage.write(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "doc_id", "digest"), "rep"), "ids")
+    held = small(ids.filter("doc_id is not null").select("doc_id").distinct())
+    wanted = docs.join(held, "doc_id", "left_semi").select("text")
+    if not ids.filter("doc_id is null").isEmpty():
+        wanted = wanted.unionAll(docs.filter("doc_id is null").select("text"))
+    # A doc_id may have other texts, too: the digest tells which is the class's.
+    sets = stage.write(_as_sets(wanted, n).join(small(ids.select("rep", "digest")), "digest").drop("digest").dropDuplicates(["rep"]), "sets")
+    left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
+    both = left.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
     common, total = F.size(F.array_intersect("ta", "tb")), F.size("ta") + F.size("tb")
     both = both.select("a", "b", common.alias("i"), total.alias("t"))
     out = stage.write(both.filter(F.col("i") * 100 >= percent * (F.col("t") - F.col("i"))).select("a", "b"), "links")
@@ -144,36 +152,41 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 s = shingles(text, n)
-                rows.append((doc, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), first_tokens(s, token, times, percent).view(np.int64)))
+                rows.append((doc, len(s), _digest(s), first_tokens(s, token, times, percent).view(np.int64)))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "first"])
 
     # Ids travel as strings: pandas would turn integers with nulls among them to floats.
     texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
     outlined = texts.mapInPandas(outline, "doc_id string, n_shingles long, digest binary, first array<long>")
     outlined = stage.write(outlined.withColumn("doc_id", F.col("doc_id").cast("long")), "outlines")
-    classes = stage.write(outlined.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    first = outlined.join(classes, (F.col("doc_id") == F.col("rep")) & (outlined["digest"] == classes["digest"]), "left_semi")
+    alike = outlined.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
+    classes = stage.write(alike.withColumn("rep", F.monotonically_increasing_id()), "classes")
     # One row per class and token, for tokens of two classes or more.
-    tokens = stage.write(first.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("first").alias("pos", "token")), "tokens")
+    tokens = stage.write(classes.select("rep", "n", F.posexplode("first").alias("pos", "token")), "tokens")
     held = tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("holders")).filter("holders > 1").drop("holders")
     shared = stage.write(tokens.withColumn("pos", F.col("pos") + 1).join(held, "token"), "shared")
     stage.drop(tokens)
 
     texts = docs.filter("text is not null")
-    pointed = shared.filter("rep <> lead").groupBy("rep", "n", "lead").agg(F.count("*").alias("c"))
-    pointed = pointed.join(outlined.groupBy(F.col("doc_id").alias("lead")).agg(F.max("n_shingles").alias("lead_n")), "lead")
+    pointed = shared.filter("rep <> lead").groupBy("rep", "n", "lead").agg(F.count("*").alias("c")).filter(F.col("c") >= depth(F.floor(F.col("n") * percent / 100)))
+    pointed = pointed.join(small(classes.select(F.col("rep").alias("lead"), F.col("n").alias("lead_n"))), "lead")
     pointed = pointed.filter((F.col("c") >= F.least(depth(F.col("n")), depth(F.col("lead_n")))) & _sizes_fit("n", "lead_n", percent))
     tried = stage.write(pointed.select(F.col("lead").alias("a"), F.col("rep").alias("b")), "pointed")
-    links = verified(tried, texts, n, percent, stage)
+    links = verified(tried, classes, texts, n, percent, stage)
     groups = stage.write(components(links, stage.cut), "groups")
 
-    found = _between(shared, groups, tried, texts, n, percent, stage)
-    ends = stage.write(components(links.union(found), stage.cut), "ends")
-    whole = outlined.join(classes, "digest", "left").join(ends.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    return whole.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    found = _between(shared, groups, tried, classes, texts, n, percent, stage)
+    rows = stage.write(outlined.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left").drop("digest"), "rows")
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
+    same = rows.join(small(stage.write(several.drop("z"), "several")), "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    ends = components(links.union(found).union(same), stage.cut).select(F.col("node").alias("rep"), "component")
+    named = stage.write(classes.select("rep", "doc_id").join(ends, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "ends")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    ids = named.select("rep", "component").join(least, "component").drop("component")
+    return rows.join(ids, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("rep").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, texts: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
+def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
     """Links between members of different groups, by the token-group matrix."""
     own = shared.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("grp"))
     own = stage.write(own, "grouped")
@@ -201,4 +214,4 @@ def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, texts: Data
     pairs = pairs.filter(F.col("c") >= l).select("a", "b")
     done = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stage.write(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    return verified(pairs, texts, n, percent, stage)
+    return verified(pairs, classes, texts, n, percent, stage)

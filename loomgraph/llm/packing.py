@@ -9,7 +9,7 @@ rank among the pieces of its length, which comes from counts per task, so that n
 in one task.
 
 Defined cases: a null text is empty; an empty text is one piece that holds the end token only; repeated
-rows are packed each; an empty table gives an empty result; other columns are ignored.  Very long
+rows are packed each; an empty table gives an empty result; other columns, whatever their names, are ignored.  Very long
 documents are cut into full pieces and a rest."""
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgraph.llm import tokens
-from loomgraph.llm.common import Stage, ship
+from loomgraph.llm.common import Stage, ship, small
 
 CAPACITY, END_ID = 4096, 1
 
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     # Strings again for the same reason.
     before = F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1))
     starts = per_task.select(F.col("length").alias("l"), F.col("task").alias("t"), F.coalesce(before, F.lit(0)).alias("before"))
-    ranked = cut.join(starts, (F.col("length") == F.col("l")) & (F.col("task") == F.col("t")))
+    ranked = cut.join(small(stage.write(starts, "starts")), (F.col("length") == F.col("l")) & (F.col("task") == F.col("t")))
     columns = [F.col("doc_id").cast("string"), "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     ranked = ranked.select(*columns, (F.col("nth") + F.col("before")).alias("rank"))
     schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", sequence_id long, offset long"

@@ -8,7 +8,8 @@ last stable boundary of their overlap.  Where an overlap holds no such place it
 of the text if need be, so that the count is always that of the whole text.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are counted each; an empty
-table gives an empty result; other columns are ignored."""
+table gives an empty result; other columns, whatever their names, are ignored; special strings inside a text count as the
+library takes them, for which such a text is encoded whole."""
 
 from __future__ import annotations
 
@@ -23,13 +24,13 @@ from loomgraph.llm import tokens
 from loomgraph.llm.common import ship
 
 #: Characters from which on a text is cut in chunks, of a chunk, and of an overlap at first.
-HUGE, CHUNK, OVERLAP = 65_536, 16_384, 512
+HUGE, CHUNK, OVERLAP = 8_192, 4_096, 128
 
 _STABLE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def spliced_ids(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """Ids of the whole text, from chunks."""
+def spliced_ids(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, widened: list[int] | None = None) -> list[int]:
+    """Ids of the whole text, from chunks; ``widened`` collects the overlaps that had to be widened."""
     lib = tokens.library(path)
     if any(s in text for s in tokens.specials(path)):
         return lib.encode(text, add_special_tokens=False).ids
@@ -62,6 +63,8 @@ def spliced_ids(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP
                 here = encode(at, stop)
                 break
             width *= 2
+            if widened is not None:
+                widened.append(width)
     return out + [i for s, i in here if s >= at]
 
 

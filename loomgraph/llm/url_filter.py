@@ -9,7 +9,7 @@ candidates that pass are joined with the list itself, which removes false positi
 Defined cases: a null url, or one without ``://``, has an empty host and path and gets the default verdict
 unless a rule has an empty host; the longest rule (host and path together) wins, then the longer host, then
 ``block``; repeated rows are judged each; an empty table or list gives an empty result or default verdicts;
-other columns are ignored."""
+other columns, whatever their names, are ignored."""
 
 from __future__ import annotations
 
@@ -25,8 +25,6 @@ from loomgraph.llm.common import Stage, ship, small
 
 #: Blocks of 512 bits: as many as the list needs at 16 bits a key, but at most 64 MB.
 BITS_PER_KEY, MAX_BLOCKS = 16, 1 << 20
-#: Rows up to which the list, or what was found, is broadcast.
-BROADCAST_ROWS = 200_000
 
 
 def with_host_and_path(pages: DataFrame) -> DataFrame:
@@ -57,9 +55,9 @@ def build_filter(keys: DataFrame) -> tuple[np.ndarray, int]:
             yield pd.DataFrame({"block": block} | {f"w{i}": mask[:, i].view(np.int64) for i in range(8)})
 
     rows = keys.mapInPandas(masks, "block long, " + ", ".join(f"w{i} long" for i in range(8)))
+    found = rows.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8))).toPandas()  # 72 bytes a block
     words = np.zeros((blocks, 8), np.int64)
-    for r in rows.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8))).collect():
-        words[r["block"]] = r[1:]
+    words[found["block"].to_numpy()] = found.drop(columns="block").to_numpy()
     return words.view(np.uint64), blocks
 
 
@@ -98,8 +96,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
 
     urls = with_host_and_path(pages).select("page_id", "host", "path")
     possible = urls.select("host", "path").mapInPandas(probe, "h string, p string, c_host string, c_path string").distinct()
-    found = possible.join(small(rules, BROADCAST_ROWS), (F.col("c_host") == F.col("r_host")) & (F.col("c_path") == F.col("r_path")))
+    found = possible.join(small(rules), (F.col("c_host") == F.col("r_host")) & (F.col("c_path") == F.col("r_path")))
     order = F.struct(F.length("r_host") + F.length("r_path"), F.length("r_host"), F.col("action"))
     best = stage.write(found.groupBy("h", "p").agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), "action"), order).alias("best")), "best")
-    out = urls.join(small(best, BROADCAST_ROWS), (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
+    out = urls.join(small(best), (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))

@@ -46,6 +46,16 @@ def test_matches_brute_force(spark):
         assert got == model(rows, n, percent)
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    """All links of both texts count, in any order of the rows."""
+    a, b = ([f"{x}{i}" for i in range(101)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "more"])), (3, " ".join([*b, "more"])), (4, "apart from them"), (None, " ".join([*b, "none"])), (None, "alone here")]
+    for some in (rows, rows[::-1], rows + rows):
+        df = spark.createDataFrame(some, "doc_id long, text string")
+        got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_join.jaccard_classes(df).collect()}
+        assert got == {(1, 99): 1, (2, 100): 1, (3, 100): 1, (4, 1): 4, (None, 100): 1, (None, 1): None}
+
+
 def test_awkward_cases(spark):
     docs = documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None]

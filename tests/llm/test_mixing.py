@@ -69,6 +69,30 @@ def test_applied_texts_hold_what_is_taken(spark):
     assert {r["doc_id"]: len(r["text"].split()) for r in out.collect()} == taken
 
 
+def test_few_documents_are_cut_and_large_ids_are_kept(spark):
+    big = 9007199254740993
+    rows = [(big + i, " ".join(f"d{i}w{j}" for j in range(100)), "a" if i % 2 else "b", None if i % 3 else big) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other long")
+    out = mixing.apply_mix(docs, mixing.mix(docs)).collect()
+    assert {(r["doc_id"], r["other"]) for r in out} <= {(r[0], r[3]) for r in rows}
+    assert sum(len(r["text"].split()) % 100 > 0 for r in out) <= 4  # two a shard
+
+
+def test_many_rows_without_an_id_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SAME", 8)
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 16)
+    rows = [(None, "w " * (i % 5), "a") for i in range(300)] + [(7, "one two", "a")] * 200 + [(i, "x y z", "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, block=1)
+    assert got.count() == 600
+    key = lambda df: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in df.collect())
+    assert key(got) == key(mixing.mix(docs.repartition(5), block=1))
+    for size in (200 * 2 + 600, 300):
+        some = [r for r in got.collect() if r["source_size"] == size]
+        assert some and abs(sum(r["taken"] for r in some) - some[0]["target"]) <= 2 * mixing.BLOCK
+        assert all(0 <= r["taken"] <= 2 * r["size"] for r in some)
+
+
 def test_awkward_cases(spark):
     rows = mixing.mix(documents(spark)).collect()
     assert len(rows) == documents(spark).count()

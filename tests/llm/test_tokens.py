@@ -39,6 +39,23 @@ def test_splices_give_the_ids_of_the_whole_text():
     assert token_counts.count_tokens(huge, BYTE_BPE) == len(tokens.library(BYTE_BPE).encode(huge, add_special_tokens=False).ids)
 
 
+def test_huge_texts_by_splices(spark):
+    """Texts without a stable boundary for long force wider overlaps."""
+    rng = random.Random(12)
+    texts = []
+    for i in range(30):
+        parts = [rng.choice(["lorem", "ipsum,", "dolor\n", "é", "x" * rng.choice([5, 300, 900]), " \n "]) for _ in range(rng.randint(400, 3000))]
+        texts.append((" " if i % 3 else "").join(parts))
+    widened = []
+    for t in texts:
+        want = tokens.library(BYTE_BPE).encode(t, add_special_tokens=False).ids
+        assert token_counts.spliced_ids(t, BYTE_BPE, widened=widened) == want
+    assert len(widened) > 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(df, BYTE_BPE).collect()}
+    assert got == {i: len(tokens.library(BYTE_BPE).encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 def test_table(spark):
     docs = documents(spark)
     for r in token_counts.token_counts(docs, BYTE_BPE).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
