@@ -126,3 +126,14 @@ def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most`` bytes, else as it is (a shuffled join, which
     adaptive execution splits where a key is hot)."""
     return F.broadcast(df) if few(df, most) else df
+
+
+def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inner", hot: int = 1000) -> DataFrame:
+    """Join with ``keys``, which has a row per key, with n, how many rows hold it.  Where the keys are too many to broadcast, those that more than
+    one row in ``hot`` holds, of which there are fewer than ``hot``, are, and only rows of other keys are shuffled."""
+    if few(keys):
+        return rows.join(F.broadcast(keys.drop("n")), on, how)
+    total = keys.agg(F.sum("n")).head()[0]
+    common = F.broadcast(keys.filter(F.col("n") * hot > total))
+    rest = rows.join(common.select(on), on, "left_anti").join(keys.filter(F.col("n") * hot <= total).drop("n"), on, how)
+    return rows.join(common.drop("n"), on, how).unionByName(rest)

@@ -26,7 +26,7 @@ def op2_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), every_row=True)
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op4_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +67,11 @@ SELECT page_id, host, path,
   coalesce((SELECT arg_max(a, length(h || p)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
 FROM v"""
 
-#: The shortest runs of 20 words from and up to each line, as texts; all but the first copy of each go.
+#: The shortest runs of 20 words from and up to each line, as texts; all but the first copy of each go.  Each row is a document,
+#: in order of doc_id (none last) and of its content.
 OP3_SQL = r"""
-WITH s AS (SELECT doc_id AS doc, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS LAST, md5(text)) AS k FROM documents),
+s AS (SELECT k AS doc, string_split(text, chr(10)) AS ls FROM d WHERE text IS NOT NULL),
 l AS (SELECT doc, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM s),
 w AS (SELECT *, greatest(1, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS w FROM l),
 c AS (SELECT doc, pos, line, w, sum(w) OVER (PARTITION BY doc ORDER BY pos) AS stop FROM w),
@@ -81,7 +83,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc, pos) AS copy F
 g AS (SELECT DISTINCT c.doc, c.pos FROM k JOIN c ON c.doc = k.doc AND c.pos BETWEEN k.pos AND k.last WHERE copy > 1),
 n AS (SELECT c.doc, coalesce(string_agg(c.line, chr(10) ORDER BY c.pos) FILTER (WHERE g.pos IS NULL), '') AS text, count(*)::INT AS n_lines, count(g.pos)::INT AS n_removed
       FROM c LEFT JOIN g ON g.doc = c.doc AND g.pos = c.pos GROUP BY c.doc)
-SELECT doc_id, n.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed FROM documents LEFT JOIN n ON n.doc = doc_id"""
+SELECT doc_id, n.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed FROM d LEFT JOIN n ON n.doc = k"""
 
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
