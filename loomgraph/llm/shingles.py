@@ -8,7 +8,7 @@ import xxhash
 _word = xxhash.xxh3_64_intdigest
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers in which every bit depends on all (multiply and fold)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -25,5 +25,5 @@ def shingles(text: str, n: int) -> np.ndarray:
     size = min(n, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i])
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i])
     return np.unique(out)
