@@ -2,14 +2,15 @@
 
 Each stage takes what the one before it kept, as (spark, docs, sf_dir), and returns documents with the same
 columns; the last returns the packed pieces.  Between stages documents are written as Parquet to the shared
-folder and read again.
+folder and read again, and the tables that a stage made for itself are removed.
 
 Defined cases: those of the operators; further, a document that line dedup empties is a copy and goes; of a group
-of near duplicates, and of rows equal in doc_id and text, one stays; rows that share a doc_id are documents each; rows
-without a doc_id are not compared for near duplicates, and get numbers beyond the largest doc_id before mixing.  An empty table passes through all stages.
+of near duplicates the row with the least doc_id stays, rows without one coming last; rows that share a doc_id are
+documents each; where a doc_id does not tell rows apart, or is null, they get numbers beyond the largest for the mix, and
+rows without a doc_id keep them.  An empty table passes through all stages.
 
-No SQL can express the classifier or the packing plan, so ORACLE_SQL is None and the tests hold each stage
-against a brute-force version."""
+No SQL can express the classifier or the packing plan, so ORACLE_SQL is None and a test holds the stages
+against brute-force versions of them."""
 
 from __future__ import annotations
 
@@ -22,7 +23,6 @@ from loomgraph.llm.queries import WORD_BPE
 
 #: Near duplicates: words of a shingle, and similarity in percent.
 SHINGLE, PERCENT = 5, 80
-BROADCAST_IDS = 200_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later copies of repeated line runs; texts that lose all their lines go."""
-    out = line_dedup.dedup_lines(docs, every_row=True).filter("n_removed = 0 or text <> ''")
+    out = line_dedup.dedup_lines(docs).filter("n_removed = 0 or text <> ''")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
@@ -46,23 +46,19 @@ def own_ids(docs: DataFrame, stage: Stage) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least number of each group of near duplicates; of rows equal in doc_id and text, one."""
+    """The document with the least number of each group of near duplicates."""
     stage = Stage(spark, "near")
-    own = own_ids(docs, stage)
-    known = own.filter("__id is not null")
-    classes = jaccard_join.jaccard_classes(known.drop("__id"), SHINGLE, PERCENT)
-    near = classes.filter("doc_id <> component_id").select("doc_id")
-    shared = known.filter(F.col("doc_id").cast("string") != F.col("__id")).select("doc_id", "__id", F.md5("text").alias("digest"))
-    one = shared.groupBy("__id", "digest").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    equal = shared.select("doc_id").join(one, "doc_id", "left_anti")
-    gone = stage.write(near.unionAll(equal).distinct(), "gone")
-    out = own.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti")
+    own = stage.write(own_ids(docs, stage), "own")
+    classes = jaccard_join.jaccard_classes(own.drop("__id"), SHINGLE, PERCENT)
+    gone = stage.write(classes.filter("doc_id <> component_id").select("doc_id"), "gone")
+    out = own.join(small(gone), "doc_id", "left_anti")
     return out.withColumn("doc_id", F.col("__id").cast("long")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as much of them, as their source's target takes."""
-    own = own_ids(docs, Stage(spark, "mix"))
+    stage = Stage(spark, "mix")
+    own = stage.write(own_ids(docs, stage), "own")
     out = mixing.apply_mix(own, mixing.mix(own))
     return out.withColumn("doc_id", F.coalesce(F.col("__id").cast("long"), "doc_id")).select(docs.columns)
 
@@ -86,5 +82,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage, docs = Stage(spark, "pipeline"), table(spark, sf_dir, "documents")
     for name, step in STAGES:
+        made = len(Stage.made)
         docs = stage.write(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        Stage.clear(made)
     return docs
