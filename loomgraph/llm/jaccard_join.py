@@ -138,6 +138,16 @@ def _sizes_fit(x: str, y: str, percent: int):
     return (F.col(x) * percent <= F.col(y) * 100) & (F.col(y) * percent <= F.col(x) * 100)
 
 
+def _numbered(classes: DataFrame, stage: Stage) -> DataFrame:
+    """classes plus rep, a number of its own for each: the least doc_id, so that tokens point to what came first, which copies
+    resemble most; those that share theirs or have none are numbered beyond the largest (below 2^62, say)."""
+    first = max(0, classes.agg(F.max("doc_id")).head()[0] or 0) + 1
+    several = small(stage.write(classes.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "shared-ids"))
+    own = classes.filter("doc_id is not null").join(several, "doc_id", "left_anti").withColumn("rep", F.col("doc_id"))
+    rest = classes.join(several, "doc_id", "left_semi").unionByName(classes.filter("doc_id is null"))
+    return stage.write(own.unionByName(rest.withColumn("rep", F.lit(first) + F.monotonically_increasing_id())), "classes")
+
+
 def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
     spark = docs.sparkSession
@@ -160,7 +170,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     outlined = texts.mapInPandas(outline, "doc_id string, n_shingles long, digest binary, first array<long>")
     outlined = stage.write(outlined.withColumn("doc_id", F.col("doc_id").cast("long")), "outlines")
     alike = outlined.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
-    classes = stage.write(alike.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    classes = _numbered(stage.write(alike, "alike"), stage)
     # One row per class and token, for tokens of two classes or more.
     tokens = stage.write(classes.select("rep", "n", F.posexplode("first").alias("pos", "token")), "tokens")
     held = tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("holders")).filter("holders > 1").drop("holders")
