@@ -136,4 +136,4 @@ def snippet(c: Column | str, n: int = 240) -> Column:
 
 def fact_line(label: Column | str, tags: Column | str, summary: Column | str) -> Column:
     t = _col(tags)
-    return F.concat(_col(label), F.lit(" ["), F.when(F.size(t) > 0, F.array_join(t, "/")).otherwise(F.lit("entity")), F.lit("]: "), F.coalesce(_col(summary), F.lit("")))
+    return F.concat(_col(label), F.lit(" ("), F.when(F.size(t) > 0, F.array_join(t, "/")).otherwise(F.lit("entity")), F.lit("): "), F.coalesce(_col(summary), F.lit("")))

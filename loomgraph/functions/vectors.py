@@ -43,16 +43,24 @@ def grams(toks: Column) -> Column:
     return F.concat(toks, pairs)
 
 
-def bucket(gram: Column | str, dim: int) -> Column:
-    """The first four bytes of the MD5, modulo the dimension."""
-    return (F.conv(F.substring(F.md5(_col(gram)), 1, 8), 16, 10).cast("long") % dim).cast("int")
+def bucket_of(hash: Column | str, dim: int) -> Column:
+    """The first four bytes of the MD5 (in hexadecimal digits), modulo the dimension."""
+    return (F.conv(F.substring(_col(hash), 1, 8), 16, 10).cast("long") % dim).cast("int")
 
 
-def sign(gram: Column | str) -> Column:
+def sign_of(hash: Column | str) -> Column:
     """+1 or -1 by the low bit of the fifth byte."""
-    odd = F.instr(F.lit("13579bdf"), F.substring(F.md5(_col(gram)), 10, 1)) > 0
+    odd = F.instr(F.lit("13579bdf"), F.substring(_col(hash), 10, 1)) > 0
     return F.when(odd, F.lit(1.0)).otherwise(F.lit(-1.0))
 
 
+def bucket(gram: Column | str, dim: int) -> Column:
+    return bucket_of(F.md5(_col(gram)), dim)
+
+
+def sign(gram: Column | str) -> Column:
+    return sign_of(F.md5(_col(gram)))
+
+
 def weight(count: Column | str) -> Column:
     return 1.0 + F.ln(_col(count))

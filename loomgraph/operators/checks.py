@@ -81,7 +81,8 @@ def bad_values(df: DataFrame, name: str, column: str, allowed: list[str], key: s
 
 def validate(packs: DataFrame, entities: DataFrame, chunks: DataFrame) -> DataFrame:
     """All checks of a dataset."""
-    parts = [unknown_requires(packs), cycles(packs), unknown_packs(entities, packs), dangling_references(chunks, entities), missing_chunks(packs, chunks), defined_not_attested(entities)]
+    ids = [duplicate_ids(df, name, key) for df, name, key in ((chunks, "chunk", "id"), (entities, "entity", "iri")) if key in df.columns]
+    parts = [*ids, unknown_requires(packs), cycles(packs), unknown_packs(entities, packs), dangling_references(chunks, entities), missing_chunks(packs, chunks), defined_not_attested(entities)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,15 +58,38 @@ def windows(words: Column, target: int, overlap: int) -> Column:
     return F.when(n <= target, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), last, F.lit(step)))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once: an array of one holds it, where a plain column would be written out at every use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+_ANY_HEADING = rf"(?U)(?:^|{BREAK})#{{1,6}}{T.SPACE}"
+
+
+def _windowed(body: Column, path: Column, size: int, shared: int, min_words: int) -> Column:
+    """The windows (heading_path, text, n_words) of a section that are long enough."""
+
+    def cut(words: Column) -> Column:
+        n = lambda start: F.least(F.lit(size), F.size(words) - start)
+        starts = F.filter(windows(words, size, shared), lambda start: n(start) >= min_words)
+        return F.transform(starts, lambda start: F.struct(path.alias("heading_path"), F.array_join(F.slice(words, start + 1, size), " ").alias("text"), n(start).cast("int").alias("n_words")))
+
+    return bound(T.flatten(T.clean_text(body)), lambda flat: bound(F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " ")), cut))
+
+
 def chunk(docs: DataFrame, slug: str, text: str = "text", tokens: int = 320, overlap: int = 48, min_words: int = 12) -> DataFrame:
-    """id, doc, seq, heading_path, text, n_words, token_est; chunks are numbered after short ones are dropped."""
+    """id, doc, seq, heading_path, text, n_words, token_est; chunks are numbered after short ones are dropped.
+
+    A slug is its row's own, so that all chunks of a document come from its row, in order and numbered, without a shuffle.  Only texts with
+    a heading are cut in sections."""
     size, shared = T.word_budget(tokens, overlap)
-    s = sections(docs.select(F.col(slug).alias("doc"), F.col(text).alias("__text")), "__text")
-    s = s.withColumn("__flat", T.flatten(T.clean_text("body"))).filter("__flat <> ''").withColumn("__words", F.split("__flat", " "))
-    w = s.select("doc", "section", "heading_path", "__words", F.explode(windows(F.col("__words"), size, shared)).alias("__start"))
-    w = w.withColumn("__window", F.slice("__words", F.col("__start") + 1, size)).withColumn("n_words", F.size("__window")).filter(F.col("n_words") >= min_words)
-    w = w.withColumn("seq", F.row_number().over(W.partitionBy("doc").orderBy("section", "__start")) - 1)
-    return w.select(T.chunk_id("doc", "seq").alias("id"), "doc", "seq", "heading_path", F.array_join("__window", " ").alias("text"), "n_words", T.token_estimate("n_words").alias("token_est"))
+    d = docs.select(F.col(slug).alias("doc"), F.col(text).alias("__text")).filter("__text is not null").withColumn("__headed", F.col("__text").rlike(_ANY_HEADING))
+    plain = d.filter("not __headed").select("doc", _windowed(F.col("__text"), F.array().cast("array<string>"), max(size, 1), shared, max(min_words, 1)).alias("__w"))
+    s = sections(d.filter("__headed").select("doc", "__text"), "__text")
+    s = s.select("doc", "section", _windowed(F.col("body"), F.col("heading_path"), max(size, 1), shared, max(min_words, 1)).alias("__w"))
+    headed = s.groupBy("doc").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("section", "__w"))), lambda x: x["__w"])).alias("__w"))
+    w = plain.unionByName(headed).select("doc", F.posexplode("__w").alias("seq", "w")).select("doc", "seq", "w.*")
+    return w.select(T.chunk_id("doc", "seq").alias("id"), "doc", "seq", "heading_path", "text", "n_words", T.token_estimate("n_words").alias("token_est"))
 
 
 def batches(chunks: DataFrame, size: int = 120) -> DataFrame:

@@ -14,19 +14,35 @@ DIM = 256
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """id, gram, n: tokens and neighbouring pairs of each text (id, text)."""
-    return texts.select("id", F.explode(V.grams(V.tokens("text"))).alias("gram")).groupBy("id", "gram").agg(F.count("*").alias("n"))
+    """id, gram, n: tokens and neighbouring pairs of each text (id, text).
+
+    Texts are dealt out by id first: grams are then counted, hashed and summed where they are, without another shuffle."""
+    return texts.select("id", "text").repartition("id").select("id", F.explode(V.grams(V.tokens("text"))).alias("gram")).groupBy("id", "gram").agg(F.count("*").alias("n"))
 
 
 def hashed_sparse(texts: DataFrame, dim: int = DIM) -> DataFrame:
     """id, idx, w: the vectors before normalisation, without zeros that no gram fell on."""
-    g = term_counts(texts).select("id", V.bucket("gram", dim).alias("idx"), (V.sign("gram") * V.weight("n")).alias("w"))
+    g = term_counts(texts).select("id", "n", F.md5("gram").alias("hash"))
+    g = g.select("id", V.bucket_of("hash", dim).alias("idx"), (V.sign_of("hash") * V.weight("n")).alias("w"))
     return g.groupBy("id", "idx").agg(F.sum("w").alias("w"))
 
 
+def _cells(texts: DataFrame, dim: int) -> DataFrame:
+    """id, cells (idx, w), norm."""
+    return hashed_sparse(texts, dim).groupBy("id").agg(F.collect_list(F.struct("idx", "w")).alias("cells"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
+def hashed_scores(texts: DataFrame, query: list[float], digits: int = 6) -> DataFrame:
+    """id, score: the inner product of each text's vector, rounded as it is stored, with a query's, from the cells alone."""
+    q = F.array(*(F.lit(float(x)) for x in query))
+    unit = lambda c: F.bround(F.when(F.col("norm") > 0, c["w"] / F.col("norm")).otherwise(c["w"]), digits)
+    dot = F.aggregate("cells", F.lit(0.0), lambda s, c: s + unit(c) * F.get(q, c["idx"]))
+    return _cells(texts, len(query)).select("id", dot.alias("score"))
+
+
 def hashed_vectors(texts: DataFrame, dim: int = DIM) -> DataFrame:
     """id, vector: normalised; a text without tokens has the zero vector."""
-    cells = hashed_sparse(texts, dim).groupBy("id").agg(F.collect_list(F.struct("idx", "w")).alias("cells"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    cells = _cells(texts, dim)
     unit = F.transform("cells", lambda c: F.struct(c["idx"].alias("idx"), F.when(F.col("norm") > 0, c["w"] / F.col("norm")).otherwise(c["w"]).alias("w")))
     cells = cells.select("id", F.map_from_entries(unit).alias("cells"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit(0.0)))
@@ -42,29 +58,51 @@ def register_provider(name: str, make: Callable[[dict], Callable[[list[str]], li
     PROVIDERS[name] = make
 
 
-def http_provider(options: dict) -> Callable[[list[str]], list[list[float]]]:
-    """A served model: options url, model, and optionally path (/api/embed), timeout (seconds), field (embeddings).
-
-    Texts go as one JSON request, {"model": ..., "input": [...]}."""
-    import json
-    import urllib.request
-
-    url = options["url"].rstrip("/") + options.get("path", "/api/embed")
-    field = options.get("field", "embeddings")
-
-    def embed(texts: list[str]) -> list[list[float]]:
-        body = json.dumps({"model": options["model"], "input": texts}).encode()
-        request = urllib.request.Request(url, data=body, headers={"Content-Type": "application/json"})
-        with urllib.request.urlopen(request, timeout=options.get("timeout", 120)) as reply:
-            found = json.load(reply)
-        if not found.get(field):
-            raise RuntimeError(f"no embeddings: {found.get('error')}")
-        return found[field]
-
-    return embed
-
-
-register_provider("http", http_provider)
+class ServedModel:
+    """A model behind HTTP.
+
+    Options: url, model; single (one prompt a request, by the older endpoint), path, timeout in seconds, tries.  The wire format is the
+    server's: a batch goes as {"model", "input": [...]} and comes back under "embeddings", a prompt as {"model", "prompt"} under "embedding"."""
+
+    def __init__(self, options: dict):
+        self.single = bool(options.get("single"))
+        self.address = f"{options['url'].rstrip('/')}{options.get('path') or ('/api/embeddings' if self.single else '/api/embed')}"
+        self.model, self.timeout, self.tries = options["model"], options.get("timeout", 120), options.get("tries", 3)
+
+    def __call__(self, texts: list[str]) -> list[list[float]]:
+        if self.single:
+            return [self._ask({"prompt": t}, "embedding") for t in texts]
+        found = self._ask({"input": texts}, "embeddings")
+        if len(found) != len(texts):
+            raise RuntimeError(f"{len(texts)} texts were sent to {self.address}, {len(found)} vectors came back")
+        return found
+
+    def _ask(self, what: dict, field: str):
+        """One request; refused connections and server errors are tried again, with growing pauses."""
+        import http.client
+        import json
+        import time
+        from urllib import error, request
+
+        for attempt in range(self.tries):
+            try:
+                sent = request.Request(self.address, json.dumps({"model": self.model} | what).encode(), {"Content-Type": "application/json"})
+                with request.urlopen(sent, timeout=self.timeout) as reply:
+                    body = json.load(reply)
+                break
+            except error.HTTPError as e:
+                if e.code < 500 or attempt + 1 == self.tries:
+                    raise RuntimeError(f"{self.address} refused with status {e.code}") from e
+            except (error.URLError, http.client.HTTPException, TimeoutError) as e:
+                if attempt + 1 == self.tries:
+                    raise RuntimeError(f"{self.address} cannot be reached: {e}") from e
+            time.sleep(0.2 * 2**attempt)
+        if not isinstance(body.get(field), list) or not body[field]:
+            raise RuntimeError(f"the reply of {self.address} holds no {field!r}")
+        return body[field]
+
+
+register_provider("http", ServedModel)
 
 
 def model_vectors(texts: DataFrame, provider: str, options: dict | None = None, batch: int = 32) -> DataFrame:

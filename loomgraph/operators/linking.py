@@ -13,7 +13,7 @@ from loomgraph.functions.text import strip
 
 #: Aliases up to which a class is one regular expression; beyond it, or above, n-grams are joined instead.
 PATTERN_KEYS = 5_000
-BROADCAST_KEYS = 200_000
+BROADCAST_BYTES = 16 << 20
 _RUN = r"(?U)\w+|\W+"
 
 
@@ -40,40 +40,54 @@ def _hit(kind: str):
 
 
 def _gram(n: int):
-    """The gram of n runs from a word run on, else null."""
-    return lambda r, i: F.when((i + n <= F.size("__r")) & r.rlike(r"(?U)^\w"), F.struct(i.alias("i"), F.lit(n).alias("n"), F.array_join(F.slice("__r", i + 1, n), "").alias("gram")))
+    """The gram of n runs from a run on, else null.
+
+    A key matches between word boundaries, so it covers whole runs; one that begins or ends with other characters than a word's needs
+    a word before or behind it."""
+    word = lambda r: r.rlike(r"(?U)^\w")
+    last = lambda i: F.get("__r", i + n - 1)
+    return lambda r, i: F.when((i + n <= F.size("__r")) & (word(r) | (i > 0)) & (word(last(i)) | (i + n < F.size("__r"))), F.struct(i.alias("i"), F.lit(n).alias("n"), F.array_join(F.slice("__r", i + 1, n), "").alias("gram")))
+
+
+def _none(texts: DataFrame) -> DataFrame:
+    return texts.select("id", F.lit("word").alias("kind"), F.lit("").alias("key")).limit(0)
+
+
+def _found(keys: DataFrame) -> Column | None:
+    """The hits of a text as an array (kind, key), by one alternation for each kind."""
+    parts: list[Column] = []
+    rows = keys.select("kind", "key").distinct().collect()
+    for kind in ("words", "word"):
+        if ks := [r["key"] for r in rows if r["kind"] == kind]:
+            parts.append(F.transform(F.regexp_extract_all("text", F.lit(pattern(ks, kind == "words")), F.lit(0)), _hit(kind)))
+    return F.concat(*parts) if parts else None
+
+
+def fits_pattern(keys: DataFrame) -> bool:
+    return keys.limit(PATTERN_KEYS + 1).count() <= PATTERN_KEYS
 
 
 def hits_by_pattern(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """id, kind, key of every hit, for a vocabulary small enough for a pattern."""
-    found = {kind: [r["key"] for r in keys.filter(F.col("kind") == kind).select("key").distinct().collect()] for kind in ("words", "word")}
-    parts: list[Column] = []
-    for kind, ks in found.items():
-        if ks:
-            every = F.regexp_extract_all("text", F.lit(pattern(ks, kind == "words")), F.lit(0))
-            parts.append(F.transform(every, _hit(kind)))
-    if not parts:
-        return texts.select("id", F.lit("word").alias("kind"), F.lit("").alias("key")).limit(0)
-    return texts.select("id", F.explode(F.concat(*parts)).alias("h")).select("id", "h.*")
+    if not fits_pattern(keys):
+        return hits_by_grams(texts, keys)
+    found = _found(keys)
+    return _none(texts) if found is None else texts.select("id", F.explode(found).alias("h")).select("id", "h.*")
 
 
 def hits_by_grams(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """The same by a join: grams of word and non-word runs that look like keys, then a greedy pass over the matches.
-
-    For keys that begin and end with word characters."""
+    """The same by a join: grams of word and non-word runs that are keys, then a greedy pass over the matches."""
     runs = F.regexp_extract_all(F.col("key"), F.lit(_RUN), F.lit(0))
     table = keys.select("kind", "key").distinct().withColumn("__n", F.size(runs))
-    sizes = [r[0] for r in table.select("__n").distinct().collect() if r[0] % 2]
+    sizes = [r[0] for r in table.select("__n").distinct().collect()]
     kinds = ("words", "word")
     x = texts.select("id", F.regexp_extract_all("text", F.lit(_RUN), F.lit(0)).alias("__r"))
     grams = [F.transform("__r", _gram(n)) for n in sorted(sizes)]
     if not grams:
-        return texts.select("id", F.lit("word").alias("kind"), F.lit("").alias("key")).limit(0)
+        return _none(texts)
     g = x.select("id", F.explode(F.filter(F.concat(*grams), lambda s: s.isNotNull())).alias("g")).select("id", "g.*")
     g = g.select("id", "i", "n", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), (F.lower("gram") if k == "words" else F.col("gram")).alias("key")) for k in kinds))).alias("k")).select("id", "i", "n", "k.*")
-    few = table.select("kind", "key").limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    t = table.select("kind", "key")
-    m = g.join(F.broadcast(t) if few else t, ["kind", "key"])
+    m = g.join(_hint(table.select("kind", "key")), ["kind", "key"])
     # Leftmost, then longest; the next may begin where the last one ended.
     m = m.groupBy("id", "kind").agg(F.sort_array(F.collect_list(F.struct("i", (-F.col("n")).alias("n"), "key"))).alias("m"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("keys"))
@@ -81,22 +95,32 @@ def hits_by_grams(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return m.select("id", "kind", F.explode(took["keys"]).alias("key"))
 
 
+def _hint(keys: DataFrame) -> DataFrame:
+    """keys, broadcast if they are few and short."""
+    n = keys.agg(F.sum(F.octet_length("key") + 200)).head()[0] or 0
+    return F.broadcast(keys) if n <= BROADCAST_BYTES else keys
+
+
 def link(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """id, entities: sorted IRIs of every row of ``texts`` (id, text) that links to any."""
-    plain = keys.filter(F.col("key").rlike(r"(?U)^\w.*\w$|^\w$"))
-    odd = keys.join(plain.select("kind", "key").distinct(), ["kind", "key"], "left_anti")
-    if keys.limit(PATTERN_KEYS + 1).count() <= PATTERN_KEYS:
-        hits = hits_by_pattern(texts, keys)
-    elif odd.limit(1).count() == 0:
-        hits = hits_by_grams(texts, keys)
-    else:
-        raise ValueError("a vocabulary this large may hold only aliases that begin and end with word characters")
-    hits = hits.distinct()
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return hits.join(F.broadcast(keys) if few else keys, ["kind", "key"]).groupBy("id").agg(F.array_sort(F.collect_set("iri")).alias("entities"))
+    hits = hits_by_pattern(texts, keys).distinct()
+    return hits.join(_hint(keys), ["kind", "key"]).groupBy("id").agg(F.array_sort(F.collect_set("iri")).alias("entities"))
 
 
 def with_entities(chunks: DataFrame, keys: DataFrame) -> DataFrame:
-    """chunks plus entities, empty where nothing links."""
-    linked = link(chunks.select("id", "text"), keys)
-    return chunks.join(linked, "id", "left").withColumn("entities", F.coalesce("entities", F.array().cast("array<string>")))
+    """chunks plus entities, empty where nothing links.
+
+    A small vocabulary is looked up in each row; a larger one is joined, and its links are joined back by id."""
+    none = F.array().cast("array<string>")
+    if not fits_pattern(keys):
+        linked = link(chunks.select("id", "text"), keys)
+        return chunks.join(linked, "id", "left").withColumn("entities", F.coalesce("entities", none))
+    found = _found(keys)
+    if found is None:
+        return chunks.withColumn("entities", none)
+    name = lambda h: F.concat(h["kind"], F.lit(" "), h["key"])
+    iris = keys.groupBy("kind", "key").agg(F.collect_set("iri").alias("iris"))
+    table = iris.agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "key").alias("k"), "iris"))).alias("__iris"))  # one row
+    x = chunks.crossJoin(F.broadcast(table))
+    linked = F.flatten(F.transform(F.array_distinct(F.transform(found, name)), lambda k: F.element_at("__iris", k)))
+    return x.withColumn("entities", F.array_sort(F.array_distinct(linked))).drop("__iris")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
 from loomgraph.operators.components import components
+from loomgraph.sources.staging import reliable
 
 MAX_ALIAS, MAX_ALIASES, MAX_DESCRIPTION, MAX_EVIDENCE = 60, 8, 500, 5
 DEFAULT_TYPE = "Concept"
@@ -36,31 +37,35 @@ def merge_edges(m: DataFrame) -> DataFrame:
 def mode(m: DataFrame, by: str, value: str, order: Column) -> DataFrame:
     """by, value: the commonest value of each group; of equals the one first in order."""
     n = m.filter(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(by, value).agg(F.count("*").alias("__n"), F.min(order).alias("__first"))
-    # Order descending within max: count first, then the earliest.
-    w = W.partitionBy(by).orderBy(F.desc("__n"), F.asc("__first"))
-    return n.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select(by, value)
+    return n.groupBy(by).agg(F.min_by(value, F.struct(-F.col("__n"), "__first")).alias(value))
 
 
 def canonical(mentions: DataFrame) -> DataFrame:
     """name, type, aliases, description, evidence, mentions: one row per entity.
 
     Groups by normalised name are merged along alias edges; ties go by each group's first mention, then by the
-    mention within the group."""
-    m = keyed(mentions)
+    mention within the group.  Usable mentions are written once; their fields are then counted together, one aggregate by (entity, field,
+    value) and one by entity."""
+    m = reliable(keyed(mentions))
     parts = components(merge_edges(m)).select(F.col("node").alias("key"), "component")
-    first = m.groupBy("key").agg(F.min("pos").alias("__group"))
-    m = m.join(first, "key").join(parts, "key", "left").withColumn("entity", F.coalesce("component", "key")).drop("component")
-    order = F.struct("__group", "pos")
-    name, kind = mode(m, "entity", "name", order), mode(m, "entity", "type", order)
-    d = m.withColumn("description", T.flatten(F.coalesce("description", F.lit("")))).filter("description <> ''")
-    longest = d.withColumn("__r", F.row_number().over(W.partitionBy("entity").orderBy(F.desc(F.length("description")), "__group", "pos"))).filter("__r = 1").select("entity", F.substring("description", 1, MAX_DESCRIPTION).alias("description"))
-    alias = _aliases(m.drop("key").withColumnRenamed("entity", "key")).groupBy("key").agg(F.array_sort(F.collect_set("alias")).alias("all_aliases")).withColumnRenamed("key", "entity")
-    proof = m.select("entity", F.explode("evidence").alias("e")).filter("e is not null").groupBy("entity").agg(F.slice(F.array_sort(F.collect_set("e")), 1, MAX_EVIDENCE).alias("evidence"))
-    n = m.groupBy("entity").agg(F.count("*").alias("mentions"))
-    x = n.join(name, "entity").join(kind, "entity", "left").join(longest, "entity", "left").join(alias, "entity", "left").join(proof, "entity", "left")
+    groups = m.groupBy("key").agg(F.min("pos").alias("__group")).join(parts, "key", "left").withColumn("entity", F.coalesce("component", "key")).drop("component")
+    m = m.join(groups, "key")
     none = F.array().cast("array<string>")
-    others = F.filter(F.coalesce("all_aliases", none), lambda a: T.norm_name(a) != T.norm_name("name"))
-    return x.select("name", F.coalesce("type", F.lit(DEFAULT_TYPE)).alias("type"), F.slice(others, 1, MAX_ALIASES).alias("aliases"), F.coalesce("description", F.lit("")).alias("description"), F.coalesce("evidence", none).alias("evidence"), "mentions")
+    value = lambda f, v: F.struct(F.lit(f).alias("field"), v.alias("value"))
+    aliases = F.transform(F.filter(F.coalesce("aliases", none), lambda a: (a != "") & (F.length(a) <= MAX_ALIAS)), lambda a: value("alias", T.strip(a)))
+    fields = F.concat(F.array(value("name", F.col("name")), value("type", F.nullif("type", F.lit(""))), value("description", T.flatten(F.coalesce("description", F.lit(""))))), aliases, F.transform(F.coalesce("evidence", none), lambda e: value("evidence", e)))
+    rows = m.select("entity", F.struct("__group", "pos").alias("at"), F.explode(fields).alias("f")).filter("f.value is not null and not (f.field = 'description' and f.value = '')")
+    n = rows.groupBy("entity", "f.field", "f.value").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    of = lambda f, c: F.when(F.col("field") == f, c)
+    most = lambda f: F.min_by(of(f, F.col("value")), of(f, F.struct(-F.col("n"), "first")))
+    longest = F.min_by(of("description", F.col("value")), of("description", F.struct(-F.length("value"), "first")))
+    total = F.sum(of("name", F.col("n")))
+    x = n.groupBy("entity").agg(
+        total.alias("mentions"), most("name").alias("name"), most("type").alias("type"), F.substring(longest, 1, MAX_DESCRIPTION).alias("description"),
+        F.collect_set(of("alias", F.col("value"))).alias("aliases"), F.collect_set(of("evidence", F.col("value"))).alias("evidence"),
+    )
+    others = F.filter(F.array_sort("aliases"), lambda a: T.norm_name(a) != T.norm_name("name"))
+    return x.select("name", F.coalesce("type", F.lit(DEFAULT_TYPE)).alias("type"), F.slice(others, 1, MAX_ALIASES).alias("aliases"), F.coalesce("description", F.lit("")).alias("description"), F.slice(F.array_sort("evidence"), 1, MAX_EVIDENCE).alias("evidence"), "mentions")
 
 
 def first_seen(mentions: DataFrame, aliases: int = 12, descriptions: int = 6, evidence: int = 8) -> DataFrame:
@@ -92,7 +97,7 @@ def describe_groups(entities: DataFrame, size: int = 25) -> DataFrame:
     The order is total, so the numbering is a range sort with partition offsets."""
     from loomgraph.operators.ordering import numbered
 
-    x = numbered(entities, [F.desc("mentions"), F.collate("name", F.lit("UNICODE")), F.col("name")], "__n")
+    x = numbered(entities, [F.desc("mentions"), F.collate("name", "UNICODE"), F.col("name")], "__n")
     return x.withColumn("shard", F.format_string("shard_%03d", F.floor(F.col("__n") / size).cast("int"))).drop("__n")
 
 

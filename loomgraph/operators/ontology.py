@@ -42,6 +42,8 @@ TYPE_MAP = {
     "CharacterType": ("rpg:Tag", "CharacterType", False, None),
 }
 DEFAULT_TYPE = "Concept"
+# Tags whose label does not follow from their name.
+TAG_LABELS = {"Realm": "Realm of Power"}
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,8 @@ def new_tags(entities: DataFrame, taken: DataFrame, names: Names) -> DataFrame:
     """tag, block: grouping tags that extracted entities need and the graph (taken: local) lacks."""
     need = with_class(entities).select("tag").distinct().join(taken.select(F.col("local").alias("tag")), "tag", "left_anti")
     label = F.trim(F.regexp_replace(F.regexp_replace("tag", "Tag$", ""), "([a-z])([A-Z])", "$1 $2"))
-    label = F.when(F.col("tag") == "Realm", F.lit("Realm of Power")).otherwise(label)
+    for tag, fixed in TAG_LABELS.items():
+        label = F.when(F.col("tag") == tag, F.lit(fixed)).otherwise(label)
     return need.select("tag", F.concat(F.lit(f"{names.prefix}:"), "tag", F.lit(" a rpg:Tag ; skos:prefLabel "), T.literal(label), F.lit(" .")).alias("block"))
 
 
@@ -155,14 +158,33 @@ def entity_triples(entities: DataFrame, names: Names) -> DataFrame:
     return many(RDF + "type", "types", True).unionByName(one(RPG + "name", "label")).unionByName(many(SKOS + "altLabel", "aliases")).unionByName(one(DC + "description", "summary"))
 
 
+# Terms of the provenance vocabulary, by kind, with their labels.
+TERMS = {"attestedIn": "attested in", "definedIn": "defined in", "bookSlug": "book slug"}
+
+
+def vocabulary(spark: SparkSession, names: Names) -> DataFrame:
+    """s, p, o, o_is_iri of the class and the properties that provenance uses."""
+    what = {
+        names.book_class: "A pack of documents, which adds entities and links to the graph.",
+        "attestedIn": "From an entity to a pack whose documents mention it.",
+        "definedIn": "From an entity to a pack that it was extracted from.",
+        "bookSlug": "The name of a pack in file paths.",
+    }
+    rows = []
+    for term, comment in what.items():
+        s = names.base + term
+        rows += [(s, RDF + "type", RDFS + "Class" if term == names.book_class else RDF + "Property", True), (s, RDFS + "label", TERMS.get(term, term), False), (s, RDFS + "comment", comment, False)]
+    return spark.createDataFrame(rows, "s string, p string, o string, o_is_iri boolean")
+
+
 def provenance_triples(packs: DataFrame, entities: DataFrame, names: Names) -> DataFrame:
-    """s, p, o, o_is_iri: book nodes with title, slug and requires, and entity edges; unknown packs are left out."""
+    """s, p, o, o_is_iri: the vocabulary, book nodes with title, slug and requires, and entity edges; unknown packs are left out."""
     iri = lambda c: F.concat(F.lit(names.base), T.pack_local(c))
     lit = lambda p, o: packs.select(iri("slug").alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(False).alias("o_is_iri"))
     ref = lambda p, o: packs.select(iri("slug").alias("s"), F.lit(p).alias("p"), F.lit(o).alias("o"), F.lit(True).alias("o_is_iri"))
     known = packs.select(F.col("slug").alias("other"))
     needs = packs.select("slug", F.explode("requires").alias("other")).join(known, "other", "left_semi")
-    out = ref(RDF + "type", names.base + names.book_class).unionByName(ref(RDF + "type", SCHEMA + "Book"))
+    out = vocabulary(packs.sparkSession, names).unionByName(ref(RDF + "type", names.base + names.book_class)).unionByName(ref(RDF + "type", SCHEMA + "Book"))
     out = out.unionByName(lit(DC + "title", F.coalesce(F.nullif("title", F.lit("")), "slug"))).unionByName(lit(names.base + "bookSlug", F.col("slug")))
     out = out.unionByName(needs.select(iri("slug").alias("s"), F.lit(DC + "requires").alias("p"), iri("other").alias("o"), F.lit(True).alias("o_is_iri")))
     for slot in ("attestedIn", "definedIn"):
@@ -180,7 +202,22 @@ def turtle(triples: DataFrame) -> DataFrame:
 
 
 def replace_block(graph: str, marker: str, block: str) -> str:
-    """The graph with everything from the marker on replaced by a new block.  Blocks that later steps wrote below
-    go too, so those steps run again afterwards."""
-    head = graph.split(marker)[0].rstrip()
-    return f"{head}\n\n{marker}\n\n{block.rstrip()}\n"
+    """The graph with the block between the marker and its end replaced, or with a new one at its end; blocks of other steps, before
+    and behind, stay.  An older block without an end mark reaches to the end of the graph."""
+    close = f"{marker} (end)"
+    head, found, tail = graph.partition(f"{marker}\n")
+    if not found and graph.rstrip().endswith(marker):
+        head, tail = graph.rstrip()[: -len(marker)], ""
+    tail = tail.partition(f"{close}\n")[2] if found and f"{close}\n" in tail else ""
+    whole = f"{head.rstrip()}\n\n{marker}\n\n{block.strip()}\n\n{close}\n"
+    return whole.lstrip("\n") + (f"\n{tail.strip()}\n" if tail.strip() else "")
+
+
+def write_block(spark: SparkSession, path: str, marker: str, block: str) -> int:
+    """Puts a generated block in a Turtle file, in place of its earlier version; the whole has to parse before it is written.  Returns its triples."""
+    from loomgraph.sources import records, turtle
+
+    whole = replace_block(records.get_text(spark, path) or "", marker, block)
+    n = len(turtle.parse(whole))
+    records.put_text(spark, path, whole)
+    return n

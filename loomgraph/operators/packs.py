@@ -63,7 +63,10 @@ def cyclic(packs: DataFrame) -> DataFrame:
 def resolve(packs: DataFrame, tokens: DataFrame) -> DataFrame:
     """token, slug, status (exact, unique, none, ambiguous): slug is null unless found.  Blank tokens are skipped."""
     t = tokens.select(F.trim("token").alias("token")).filter("token <> ''").distinct()
-    hit = t.join(F.broadcast(packs.select("slug")), F.col("slug").contains(F.col("token")), "left")  # the registry is a driver-side file
+    # A registry is one file and tokens are what a user typed, so slugs travel as an array in one row: no join at all.
+    slugs = packs.agg(F.array_sort(F.collect_set("slug")).alias("slugs"))
+    held = t.crossJoin(F.broadcast(slugs)).withColumn("hits", F.filter("slugs", lambda s: s.contains(F.col("token"))))
+    hit = held.select("token", F.explode_outer("hits").alias("slug"))
     g = hit.groupBy("token").agg(F.count("slug").alias("n"), F.max(F.when(F.col("slug") == F.col("token"), F.col("slug"))).alias("same"), F.max("slug").alias("any"))
     status = F.when(F.col("same").isNotNull(), "exact").when(F.col("n") == 1, "unique").when(F.col("n") == 0, "none").otherwise("ambiguous")
     return g.select("token", F.when(F.col("same").isNotNull(), F.col("same")).when(F.col("n") == 1, F.col("any")).alias("slug"), status.alias("status"))
@@ -86,7 +89,7 @@ def is_spine(defined: str = "definedIn"):
 
 def entities_in_scope(entities: DataFrame, scope: DataFrame) -> DataFrame:
     """Spine entities, and those that a pack in scope (pack) attests."""
-    attested = entities.select("iri", F.explode("attestedIn").alias("pack")).join(F.broadcast(scope), "pack", "left_semi").select("iri").distinct()
+    attested = entities.select("iri", F.explode("attestedIn").alias("pack")).join(scope.distinct(), "pack", "left_semi").select("iri").distinct()
     book = entities.filter(~is_spine()).join(attested, "iri", "left_semi")
     return entities.filter(is_spine()).unionByName(book)
 

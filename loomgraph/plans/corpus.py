@@ -11,6 +11,7 @@ from loomgraph.functions import vectors as V
 from loomgraph.operators import chunking, embedding, linking, provenance, retrieval
 from loomgraph.plans import fixtures as X
 from loomgraph.plans.registry import query
+from loomgraph.sources.staging import reliable
 
 # Chunks.
 
@@ -116,7 +117,7 @@ def entity_attested(spark: SparkSession, sf: str) -> DataFrame:
     return provenance.attested(X.linked(spark, sf)).select("iri", F.size("attestedIn").cast("long").alias("docs"), F.get("attestedIn", F.lit(0)).alias("first_doc"))
 
 
-@query(f"""WITH {X.ENTITIES}, {X.MENTIONS}, {X.KEYED},
+@query(f"""WITH {X.ENTITIES}, {X.CHUNKS}, {X.MENTIONS}, {X.KEYED},
 ev AS (SELECT DISTINCT key, split_part(unnest(evidence), '::', 1) AS doc FROM keyed),
 names AS (SELECT DISTINCT iri, {X.norm_sql("a")} AS key FROM (SELECT iri, unnest(list_append(aliases, label)) AS a FROM entities))
 SELECT iri, count(DISTINCT doc) AS docs, min(doc) AS first_doc FROM names JOIN ev USING (key) GROUP BY iri""")
@@ -173,7 +174,7 @@ def hashed_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: hashed embeddings of a corpus and of a question, exact top k."""
     question = spark.createDataFrame([(0, X.QUERY)], "id long, text string")
     q = embedding.embed(question).head()["vector"]
-    x = embedding.embed(_texts(spark, sf)).select("id", F.bround(V.dot("vector", F.array(*map(F.lit, q))), 6).alias("score"))
+    x = embedding.hashed_scores(_texts(spark, sf), q).select("id", F.bround("score", 6).alias("score"))
     best = x.orderBy(F.desc("score"), F.desc("id")).limit(5)
     return best.select(F.row_number().over(W.orderBy(F.desc("score"), F.desc("id"))).alias("rank"), "id", "score")
 
@@ -219,7 +220,7 @@ def graph_seeds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f'WITH {SCORED} SELECT "rank", id, overlap, round_even(score, 6) AS score FROM expanded')
 def graph_expand(spark: SparkSession, sf: str) -> DataFrame:
-    c = X.linked(spark, sf).persist()
+    c = reliable(X.linked(spark, sf))
     return retrieval.expand(c, X.vectors(spark, sf), X.query_vector(spark, sf), _top(spark, sf, c)).withColumn("score", F.bround("score", 6))
 
 
@@ -227,12 +228,12 @@ CHOSEN = SCORED + """, chosen AS (SELECT 'top' AS kind, "rank", id FROM top UNIO
 
 
 def _chosen(spark: SparkSession, sf: str):
-    c = X.linked(spark, sf).persist()
+    c = reliable(X.linked(spark, sf))
     top = _top(spark, sf, c)
     return c, top, retrieval.expand(c, X.vectors(spark, sf), X.query_vector(spark, sf), top)
 
 
-@query(f"""WITH {CHOSEN} SELECT iri, label || ' [' || CASE WHEN len(tags) > 0 THEN array_to_string(tags, '/') ELSE 'entity' END || ']: ' || summary AS fact
+@query(f"""WITH {CHOSEN} SELECT iri, label || ' (' || CASE WHEN len(tags) > 0 THEN array_to_string(tags, '/') ELSE 'entity' END || '): ' || summary AS fact
 FROM entities WHERE iri IN (SELECT unnest(entities) FROM linked WHERE id IN (SELECT id FROM chosen))""")
 def context_facts(spark: SparkSession, sf: str) -> DataFrame:
     c, top, more = _chosen(spark, sf)
@@ -240,10 +241,33 @@ def context_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {CHOSEN}, named AS (SELECT id, array_to_string(list(label ORDER BY iri), ', ') AS labels FROM (SELECT id, unnest(entities) AS iri FROM linked) JOIN entities USING (iri) GROUP BY id)
-SELECT kind, "rank", id, '(root)' AS breadcrumb, coalesce(labels, '—') AS labels, substr(regexp_replace(text, '\\s+', ' ', 'g'), 1, 240) AS snippet FROM chosen JOIN linked USING (id) LEFT JOIN named USING (id)""")
+SELECT kind, "rank", id, '(root)' AS breadcrumb, coalesce(labels, '—') AS labels, regexp_replace(text, '\\s+', ' ', 'g') AS text FROM chosen JOIN linked USING (id) LEFT JOIN named USING (id)""")
 def context_passages(spark: SparkSession, sf: str) -> DataFrame:
     c, top, more = _chosen(spark, sf)
-    return retrieval.passages(c, X.entities(spark), top, more)
+    return retrieval.passages(c, X.entities(spark), top, more).drop("doc", "score", "snippet")
+
+
+LABELS = """named AS (SELECT id, array_to_string(list(label ORDER BY iri), ', ') AS labels FROM (SELECT id, unnest(entities) AS iri FROM linked) JOIN entities USING (iri) GROUP BY id),
+found AS (SELECT 'top' AS part, "rank", id, score FROM top UNION ALL SELECT 'expanded', "rank", id, score FROM expanded)"""
+
+
+@query(f"""WITH {CHOSEN}, {LABELS},
+facts AS (SELECT iri, '- ' || label || ' (' || CASE WHEN len(tags) > 0 THEN array_to_string(tags, '/') ELSE 'entity' END || '): ' || summary AS line FROM entities WHERE iri IN (SELECT unnest(entities) FROM linked WHERE id IN (SELECT id FROM chosen)))
+SELECT 'fact' AS part, row_number() OVER (ORDER BY iri)::INT AS nth, line FROM facts
+UNION ALL SELECT 'passage', row_number() OVER (ORDER BY kind DESC, "rank")::INT, '[' || id || '] ' || regexp_replace(text, '\\s+', ' ', 'g') FROM chosen JOIN linked USING (id)""")
+def context_block(spark: SparkSession, sf: str) -> DataFrame:
+    """What a model is given: facts, and whole passages."""
+    c, top, more = _chosen(spark, sf)
+    e = X.entities(spark)
+    return retrieval.context(retrieval.passages(c, e, top, more), retrieval.facts(c, e, top.select("id").union(more.select("id"))))
+
+
+@query(f"""WITH {CHOSEN}, {LABELS}
+SELECT part, "rank", '[' || CASE part WHEN 'top' THEN 'sim' ELSE 'rel' END || ' ' || printf('%.3f', score) || '] ' || doc || chr(10) || '(root)' || chr(10) || 'entities: ' || coalesce(labels, '—') || chr(10) || substr(regexp_replace(text, '\\s+', ' ', 'g'), 1, 240) || '…' AS lines
+FROM found JOIN linked USING (id) LEFT JOIN named USING (id)""")
+def console_report(spark: SparkSession, sf: str) -> DataFrame:
+    c, top, more = _chosen(spark, sf)
+    return retrieval.report(retrieval.passages(c, X.entities(spark), top, more))
 
 
 # Statistics and reuse.

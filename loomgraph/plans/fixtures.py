@@ -7,6 +7,7 @@ vocabulary is a constant that queries and SQL share."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgraph.operators import chunking, linking
@@ -37,8 +38,14 @@ def entities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "iri string, types array<string>, label string, aliases array<string>, summary string, tags array<string>, definedIn array<string>")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt to all cores where it comes in fewer splits than there are (a small table in one row group); larger ones are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("slug"), "source", "text")
+    return spread(table(spark, sf_dir, "documents")).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("slug"), "source", "text")
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,12 +81,22 @@ def attested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities(spark).join(found, "iri", "left").withColumn("attestedIn", F.coalesce("attestedIn", F.array().cast("array<string>")))
 
 
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key, other: the first words of benchmark items, each with the next in order, which every third lists as an alias."""
+    first = table(spark, sf_dir, "benchmark").select(F.get(F.split("text", " "), F.lit(0)).alias("key")).filter(F.col("key").rlike("^[A-Za-z]{3,}$")).distinct()
+    order = W.orderBy("key")  # a few hundred
+    return first.select("key", F.when(F.row_number().over(order) % 3 == 0, F.lead("key").over(order)).alias("other"))
+
+
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pos, name, type, aliases, description, evidence: a mention by each document's first words."""
-    w = F.split(F.regexp_replace(F.trim(F.regexp_replace("text", "[\\t\\n\\f\\r ]+", " ")), "  +", " "), " ")
-    d = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", w.alias("w"))
-    kind = F.get(F.array(F.lit("Place"), F.lit("Spell"), F.lit(None), F.lit("Oddity")), (F.col("doc_id") % 4).cast("int"))
-    return d.select(F.col("doc_id").alias("pos"), F.get("w", F.lit(0)).alias("name"), kind.alias("type"), F.slice("w", 2, 2).alias("aliases"), F.array_join(F.slice("w", 1, (F.col("doc_id") % 7 + 1).cast("int")), " ").alias("description"), F.array(F.format_string("d%d::0000", "doc_id")).alias("evidence"))
+    """pos, name, type, aliases, description, evidence: the hits of the linker in all chunks of the whole texts."""
+    known = names(spark, sf_dir)
+    keys = known.select(F.lit("word").alias("kind"), "key", F.col("key").alias("iri"))
+    hits = linking.hits_by_pattern(chunks(spark, sf_dir).select("id", "text"), keys).select("id", "key").distinct().join(F.broadcast(known), "key")
+    kind = F.get(F.array(F.lit("Place"), F.lit("Spell"), F.lit(None), F.lit("Oddity")), F.length("key") % 4)
+    aliases = F.array_compact(F.array(F.upper("key"), F.concat(F.lit(" "), "key", F.lit(" one ")), "other"))
+    doc = F.substring_index("id", "::", 1)
+    return hits.select(F.concat("id", F.lit("/"), "key").alias("pos"), F.col("key").alias("name"), kind.alias("type"), aliases.alias("aliases"), F.concat(F.lit("Named  "), "key", F.lit(" in "), doc).alias("description"), F.array("id").alias("evidence"))
 
 
 # The same in SQL.
@@ -131,7 +148,11 @@ PACKS = "packs AS (SELECT DISTINCT source AS slug, 'Pack ' || source AS title, C
 
 ATTESTED = "attested AS (SELECT entities.*, coalesce(a, []) AS attestedIn FROM entities LEFT JOIN (SELECT iri, list_sort(list(DISTINCT source)) AS a FROM links GROUP BY iri) USING (iri))"
 
-MENTIONS = r"""raw AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[\t\n\f\r ]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
-mentions AS (SELECT doc_id AS pos, w[1] AS name, ['Place', 'Spell', NULL, 'Oddity'][doc_id % 4 + 1] AS type, w[2:3] AS aliases, array_to_string(w[1 : doc_id % 7 + 1], ' ') AS description, [printf('d%d::0000', doc_id)] AS evidence FROM raw)"""
+#: To be used behind CHUNKS or LINKED, as ``plain`` stands in the latter.
+MENTIONS = rf"""firsts AS (SELECT DISTINCT split_part(text, ' ', 1) AS key FROM benchmark WHERE regexp_matches(split_part(text, ' ', 1), '^[A-Za-z]{{3,}}$')),
+listed AS (SELECT key, CASE WHEN row_number() OVER (ORDER BY key) % 3 = 0 THEN lead(key) OVER (ORDER BY key) END AS other FROM firsts),
+words AS (SELECT DISTINCT id, unnest(regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '\w+')) AS key FROM ch),
+mentions AS (SELECT id || '/' || key AS pos, key AS name, ['Place', 'Spell', NULL, 'Oddity'][length(key) % 4 + 1] AS type,
+  list_filter([upper(key), ' ' || key || ' one ', other], lambda a: a IS NOT NULL) AS aliases, 'Named  ' || key || ' in ' || split_part(id, '::', 1) AS description, [id] AS evidence FROM words JOIN listed USING (key))"""
 
 KEYED = rf"""keyed AS (SELECT * EXCLUDE (name), trim(name) AS name, {norm_sql("name")} AS key FROM mentions WHERE regexp_matches(name, '[A-Za-z]') AND length({norm_sql("name")}) >= 2)"""

@@ -123,7 +123,7 @@ def dq_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 # Mentions.
 
-COUNTED = f"WITH {X.MENTIONS}, {X.KEYED}"
+COUNTED = f"WITH {X.CHUNKS}, {X.MENTIONS}, {X.KEYED}"
 
 
 @query(f"{COUNTED}, n AS (SELECT key, name, count(*) AS n, min(pos) AS p FROM keyed GROUP BY key, name) SELECT key, name FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, p) AS r FROM n) WHERE r = 1")
@@ -131,12 +131,7 @@ def mention_mode(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.mode(mentions.keyed(X.mentions(spark, sf)), "key", "name", F.col("pos"))
 
 
-@query()
-def first_seen_entities(spark: SparkSession, sf: str) -> DataFrame:
-    return mentions.first_seen(X.mentions(spark, sf))
-
-
-EDGES = f"""WITH RECURSIVE {X.MENTIONS}, {X.KEYED},
+EDGES = f"""WITH RECURSIVE {X.CHUNKS}, {X.MENTIONS}, {X.KEYED},
 al AS (SELECT DISTINCT key, trim(a) AS alias FROM (SELECT key, unnest(aliases) AS a FROM keyed) WHERE a <> '' AND length(a) <= 60),
 e AS (SELECT DISTINCT key AS a, {X.norm_sql("alias")} AS b FROM al),
 edges AS (SELECT a, b FROM e WHERE length(b) >= 4 AND a <> b AND b IN (SELECT key FROM keyed)),
@@ -157,7 +152,7 @@ nm AS (SELECT entity, name, count(*) AS n, min((gp, pos)) AS p FROM m GROUP BY e
 nm1 AS (SELECT entity, name FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY n DESC, p) AS r FROM nm) WHERE r = 1),
 ty AS (SELECT entity, type, count(*) AS n, min((gp, pos)) AS p FROM m WHERE type IS NOT NULL GROUP BY entity, type),
 ty1 AS (SELECT entity, type FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY n DESC, p) AS r FROM ty) WHERE r = 1),
-ds AS (SELECT entity, substr(description, 1, 500) AS description FROM (SELECT entity, description, row_number() OVER (PARTITION BY entity ORDER BY length(description) DESC, gp, pos) AS r FROM m WHERE description <> '') WHERE r = 1),
+ds AS (SELECT entity, substr(regexp_replace(description, '\\s+', ' ', 'g'), 1, 500) AS description FROM (SELECT entity, description, row_number() OVER (PARTITION BY entity ORDER BY length(description) DESC, gp, pos) AS r FROM m WHERE description <> '') WHERE r = 1),
 ev AS (SELECT entity, list_sort(list(DISTINCT x))[1:5] AS evidence FROM (SELECT entity, unnest(evidence) AS x FROM m) GROUP BY entity),
 aa AS (SELECT entity, list_sort(list(DISTINCT alias) FILTER ({X.norm_sql("alias")} <> {X.norm_sql("name")}))[1:8] AS aliases FROM (SELECT DISTINCT entity, trim(a) AS alias FROM (SELECT entity, unnest(aliases) AS a FROM m) WHERE a <> '' AND length(a) <= 60) JOIN nm1 USING (entity) GROUP BY entity)
 SELECT name, coalesce(type, 'Concept') AS type, array_to_string(coalesce(aliases, []), ' ') AS aliases, coalesce(description, '') AS description, array_to_string(evidence, ' ') AS evidence, mentions
@@ -167,10 +162,10 @@ def canonical_entities(spark: SparkSession, sf: str) -> DataFrame:
     return x.withColumns({"aliases": F.array_join("aliases", " "), "evidence": F.array_join("evidence", " ")})
 
 
-@query(f"{COUNTED} SELECT key, arg_max(description, (length(description), -pos)) AS description FROM keyed WHERE description <> '' GROUP BY key")
+@query(f"{COUNTED} SELECT key, arg_min(description, (-length(description), pos)) AS description FROM keyed WHERE description <> '' GROUP BY key")
 def longest_desc(spark: SparkSession, sf: str) -> DataFrame:
     m = mentions.keyed(X.mentions(spark, sf)).filter("description <> ''")
-    return m.groupBy("key").agg(F.max_by("description", F.struct(F.length("description"), -F.col("pos"))).alias("description"))
+    return m.groupBy("key").agg(F.min_by("description", F.struct(-F.length("description"), "pos")).alias("description"))
 
 
 @query(f"{COUNTED}, {X.ENTITIES}, taken AS (SELECT {X.norm_sql('label')} AS key FROM entities) SELECT pos, name FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY pos) AS r FROM keyed WHERE key NOT IN (SELECT key FROM taken)) WHERE r = 1")
@@ -202,7 +197,7 @@ def mint_names(spark: SparkSession, sf: str) -> DataFrame:
 TYPES = ", ".join(f"('{k}', '{c}', '{t}', {w}, {f"'{d}'" if d else 'NULL'})" for k, (c, t, w, d) in ontology.TYPE_MAP.items())
 
 
-@query(f"""WITH {X.MENTIONS}, tm(t, class, tag, in_world, defined) AS (VALUES {TYPES})
+@query(f"""WITH {X.CHUNKS}, {X.MENTIONS}, tm(t, class, tag, in_world, defined) AS (VALUES {TYPES})
 SELECT pos, class, tag, in_world, defined, CASE WHEN class = 'rpg:Tag' THEN 'skos:prefLabel' ELSE 'rpg:name' END AS label FROM mentions JOIN tm ON t = CASE WHEN type IN (SELECT t FROM tm) THEN type ELSE 'Concept' END""")
 def type_map(spark: SparkSession, sf: str) -> DataFrame:
     return ontology.with_class(X.mentions(spark, sf)).select("pos", "class", "tag", "in_world", "defined", ontology.label_predicate().alias("label"))
@@ -214,13 +209,10 @@ def mention_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""{COUNTED}, n AS (SELECT key AS name, count(*) AS mentions FROM keyed GROUP BY key)
-SELECT name, printf('shard_%03d', (row_number() OVER (ORDER BY mentions DESC, name) - 1) // 25) AS shard FROM n""")
+SELECT name, printf('shard_%03d', (row_number() OVER (ORDER BY mentions DESC, name) - 1) // 5) AS shard FROM n""")
 def describe_groups(spark: SparkSession, sf: str) -> DataFrame:
     n = mentions.keyed(X.mentions(spark, sf)).groupBy(F.col("key").alias("name")).agg(F.count("*").alias("mentions"))
-    from loomgraph.operators.ordering import numbered
-
-    x = numbered(n, [F.desc("mentions"), F.col("name")], "n")
-    return x.select("name", F.format_string("shard_%03d", F.floor(F.col("n") / 25).cast("int")).alias("shard"))
+    return mentions.describe_groups(n, 5).select("name", "shard")
 
 
 # Ontology.
@@ -244,18 +236,24 @@ def entity_index(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("iri", F.array_join("types", " ").alias("types"), "label", F.array_join("aliases", "|").alias("aliases"), "summary")
 
 
+_VOCABULARY = ", ".join(
+    f"('{X.BASE}{term}', '{p}', '{o}')"
+    for term, label, comment in (
+        ("Sourcebook", "Sourcebook", "A pack of documents, which adds entities and links to the graph."),
+        ("attestedIn", "attested in", "From an entity to a pack whose documents mention it."),
+        ("definedIn", "defined in", "From an entity to a pack that it was extracted from."),
+        ("bookSlug", "book slug", "The name of a pack in file paths."),
+    )
+    for p, o in ((ontology.RDF + "type", ontology.RDFS + "Class" if term == "Sourcebook" else ontology.RDF + "Property"), (ontology.RDFS + "label", label), (ontology.RDFS + "comment", comment))
+)
+
+
 @query(f"""WITH {X.LINKED}, {X.ATTESTED}, {X.PACKS}, b AS (SELECT slug, '{X.BASE}Book_' || upper(slug[1]) || slug[2:] AS s FROM packs),
 e AS (SELECT iri, 'attestedIn' AS slot, unnest(attestedIn) AS slug FROM attested UNION ALL SELECT iri, 'definedIn', unnest(definedIn) FROM attested)
 SELECT s, '{ontology.RDF}type' AS p, unnest(['{X.BASE}Sourcebook', '{ontology.SCHEMA}Book']) AS o FROM b
 UNION ALL SELECT s, '{ontology.DC}title', title FROM b JOIN packs USING (slug) UNION ALL SELECT s, '{X.BASE}bookSlug', slug FROM b
 UNION ALL SELECT b.s, '{ontology.DC}requires', c.s FROM (SELECT slug, unnest(requires) AS r FROM packs) JOIN b USING (slug) JOIN b c ON c.slug = r
-UNION ALL SELECT iri, '{X.BASE}' || slot, s FROM e JOIN b USING (slug)""")
+UNION ALL SELECT iri, '{X.BASE}' || slot, s FROM e JOIN b USING (slug)
+UNION ALL SELECT * FROM (VALUES {_VOCABULARY}) AS v(s, p, o)""")
 def provenance_edges(spark: SparkSession, sf: str) -> DataFrame:
     return ontology.provenance_triples(X.packs(spark, sf), X.attested(spark, sf), X.NAMES).select("s", "p", "o")
-
-
-@query()
-def turtle_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Extracted entities as Turtle statements."""
-    m = mentions.mint(mentions.first_by_name(X.mentions(spark, sf), X.entities(spark).select(T.norm_name("label").alias("norm_name"))), spark.createDataFrame([], "local string"))
-    return ontology.entity_blocks(m, X.NAMES)

@@ -25,7 +25,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from loomgraph.plans import corpus, graph  # noqa: F401  they register on import
+    from loomgraph.plans import corpus, files, graph  # noqa: F401  they register on import
 
     return dict(_QUERIES)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,18 @@ def ndjson_tolerant(spark: SparkSession, paths: str | Sequence[str], schema: str
 
 
 def documents(spark: SparkSession, paths: Sequence[str] | None = None, glob: str | None = None, root: str | None = None) -> DataFrame:
-    """path, rel, text, bytes of whole files.  A glob goes before a list; no file at all, or a missing one, is an error."""
+    """path, rel, text, bytes of whole files.  A glob, relative to the root if there is one, goes before a list; ** stands for
+    any folders.  No file at all, or a missing one, is an error."""
     if glob:
-        raw = spark.read.option("pathGlobFilter", glob.rsplit("/", 1)[-1]).text(root or glob.rsplit("/", 1)[0], wholetext=True)
+        where = glob if root is None else f"{root.rstrip('/')}/{glob}"
+        if "**" not in where:
+            raw = spark.read.text(where, wholetext=True)
+        else:
+            top = where.split("**")[0].rpartition("/")[0]
+            raw = spark.read.option("recursiveFileLookup", "true").text(top, wholetext=True)
+            parts = re.split(r"(\*\*/?|\*|\?)", where[len(top) + 1 :])
+            body = "".join({"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}.get(x, _quoted(x)) for x in parts)
+            raw = raw.filter(_decoded(F.col("_metadata.file_path")).rlike(f"{_quoted(re.sub('^[a-z]+:/*', '/', top))}/{body}$"))
     elif paths:
         raw = spark.read.text(list(paths), wholetext=True)
     else:
@@ -36,11 +46,15 @@ def documents(spark: SparkSession, paths: Sequence[str] | None = None, glob: str
     out = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), F.col("value").alias("text"))
     if out.isEmpty():
         raise FileNotFoundError(f"no document matches {glob or paths}")
-    decoded = F.expr("url_decode(replace(path, '+', '%2B'))")
-    rel = decoded if root is None else F.regexp_replace(decoded, "^.*?" + _quoted(root.rstrip("/")) + "/", "")
+    rel = _decoded(F.col("path")) if root is None else F.regexp_replace(_decoded(F.col("path")), "^.*?" + _quoted(re.sub("^[a-z]+:/*", "/", root.rstrip("/"))) + "/", "")
     return out.withColumn("rel", rel)
 
 
+def _decoded(path: Column) -> Column:
+    """A file's address as a plain path."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _quoted(s: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in s)
 
@@ -62,16 +76,26 @@ def prefixes(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("prefix", "namespace")).filter(~F.col("prefix").startswith("_"))
 
 
+#: Mentions as they are parsed: evidence may hold anything.
+_MENTION = "struct<" + S.MENTION.replace("evidence array<string>", "evidence array<variant>").replace(" array", ":array").replace(" string", ":string") + ">"
+
+
+def _mention(m: Column) -> list[Column]:
+    """The fields of a parsed mention; evidence that is no string is dropped."""
+    proof = F.filter(m["evidence"], lambda v: F.schema_of_variant(v) == "STRING")
+    return [*(m[c].alias(c) for c in ("name", "type", "aliases", "description")), F.transform(proof, lambda v: v.cast("string")).alias("evidence")]
+
+
 def shards(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(mentions with file and pos in order of files, unreadable files): each file is an array of mentions or an object
     with the array in ``entities``."""
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    mention = f"struct<{S.MENTION.replace(' array', ':array').replace(' string', ':string')}>"
-    as_list = F.from_json("value", f"array<{mention}>")
-    as_object = F.from_json("value", f"struct<entities:array<{mention}>>")
+    as_list = F.from_json("value", f"array<{_MENTION}>")
+    as_object = F.from_json("value", f"struct<entities:array<{_MENTION}>>")
     opening = F.substring(F.regexp_replace("value", r"(?U)^\s+", ""), 1, 1)
-    x = raw.withColumn("m", F.when(opening == "[", as_list).when(opening == "{", F.coalesce(as_object["entities"], F.when(F.try_parse_json("value").isNotNull(), F.array().cast(f"array<{mention}>")))))
-    rows = x.filter("m is not null").select("file", F.posexplode("m").alias("i", "m")).select("file", "i", "m.*")
+    sound = F.try_parse_json("value").isNotNull()
+    x = raw.withColumn("sound", sound).withColumn("m", F.when(~F.col("sound"), None).when(opening == "[", as_list).when(opening == "{", F.coalesce(as_object["entities"], F.array().cast(f"array<{_MENTION}>"))))
+    rows = x.filter("m is not null").select("file", F.posexplode("m").alias("i", "m")).select("file", "i", *_mention(F.col("m")))
     return with_order(rows, ["file", "i"]), x.filter("m is null").select("file")
 
 
@@ -82,14 +106,16 @@ def with_order(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def transcripts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Mentions (file, pos) from agent transcripts: of each tool use whose input is an object, the entities, if the list is
-    not empty and its first item has a name.  Lines that are no JSON are skipped."""
+    not empty and its first item has a name.  Lines that are no JSON are skipped.
+
+    A file may be split over tasks: order is by file, where the split begins, and the line in it."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("line"))
-    mention = f"struct<{S.MENTION.replace(' array', ':array').replace(' string', ':string')}>"
-    kind = f"struct<message:struct<content:array<struct<type:string,input:struct<entities:array<{mention}>>>>>>"
-    blocks = lines.filter(F.try_parse_json("value").isNotNull()).select("file", "line", F.posexplode(F.from_json("value", kind)["message"]["content"]).alias("b", "c"))
+    kind = f"struct<message:struct<content:array<struct<type:string,input:struct<entities:array<{_MENTION}>>>>>>"
+    place = ["file", "block", "line"]
+    blocks = lines.filter(F.try_parse_json("value").isNotNull()).select(*place, F.posexplode(F.from_json("value", kind)["message"]["content"]).alias("b", "c"))
     used = blocks.filter("c.type = 'tool_use' and size(c.input.entities) > 0 and c.input.entities[0].name is not null")
-    rows = used.select("file", "line", "b", F.posexplode("c.input.entities").alias("i", "m")).select("file", "line", "b", "i", "m.*")
-    return with_order(rows, ["file", "line", "b", "i"])
+    rows = used.select(*place, "b", F.posexplode("c.input.entities").alias("i", "m")).select(*place, "b", "i", *_mention(F.col("m")))
+    return with_order(rows, [*place, "b", "i"])
 
 
 def write_ndjson(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -109,9 +135,37 @@ def write_batches(batched: DataFrame, path: str) -> None:
     batched.select("batch_id", "id", "heading_path", "text").write.mode("overwrite").partitionBy("batch_id").json(path)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """One file in any store that Spark writes."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A whole small file, or None where there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.text(path, wholetext=True).head()[0]
+
+
 def write_document(one: DataFrame, path: str) -> None:
     """A one-row table as one JSON file."""
-    one.limit(1).select(F.to_json(F.struct(*one.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    row = one.select(F.to_json(F.struct(*one.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).head()
+    put_text(one.sparkSession, path, row[0] + "\n")
+
+
+def write_keyed(rows: DataFrame, key: str, path: str) -> None:
+    """A small table (of packs, sources) as one JSON object keyed by a column."""
+    fields = F.struct(*(c for c in rows.columns if c != key))
+    whole = rows.select(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, fields.alias("v"))))).alias("m"))
+    put_text(rows.sparkSession, path, whole.select(F.to_json("m", {"pretty": "true", "ignoreNullFields": "false"})).head()[0] + "\n")
 
 
 def fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,19 @@ def reliable(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_dir(df.sparkSession) + "/checkpoints")
     return df.checkpoint()
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, which goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def clean() -> None:
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may have ended before the interpreter does
+            pass
+
+    atexit.register(clean)
+    return path

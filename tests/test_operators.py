@@ -1,5 +1,6 @@
 """Linking, packs, mentions, Turtle and checks."""
 
+import json
 import random
 import re
 
@@ -130,7 +131,85 @@ def test_turtle_data_source(spark, tmp_path):
 
 def test_replaced_block_is_idempotent():
     once = ontology.replace_block("a", "# M", "b")
-    assert ontology.replace_block(once, "# M", "b") == once == "a\n\n# M\n\nb\n"
+    assert ontology.replace_block(once, "# M", "b") == once == "a\n\n# M\n\nb\n\n# M (end)\n"
+    both = ontology.replace_block(once, "# N", "c")
+    again = ontology.replace_block(both, "# M", "new")
+    assert again == both.replace("b\n", "new\n") and "# N\n\nc" in again  # blocks of later steps stay
+    assert ontology.replace_block("a\n\n# M\n\nold", "# M", "b") == once
+
+
+def test_a_block_that_does_not_parse_is_not_written(spark, tmp_path):
+    path = str(tmp_path / "g.ttl")
+    assert ontology.write_block(spark, path, "# M", "<http://a> <http://b> 'c' .") == 1
+    before = (tmp_path / "g.ttl").read_text()
+    with pytest.raises(turtle.TurtleError):
+        ontology.write_block(spark, path, "# M", "<http://a> oops .")
+    assert (tmp_path / "g.ttl").read_text() == before
+
+
+def test_a_large_vocabulary_with_odd_ends_equals_a_model(spark):
+    """20,000 aliases, some of which begin or end with other characters than a word's, against Python's regular expressions."""
+    rng = random.Random(5)
+    syllables = ["ka", "lo", "mi", "ra", "tu", "ne"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 3)))
+    shapes = [lambda: word(), lambda: f"{word()} {word()}", lambda: f"{word()} ({word()})", lambda: f"({word()}", lambda: f"{word()}!", lambda: f"{word()} {word()} {word()}", lambda: f"{word()}-{word()}", lambda: f"{word()} & {word()}."]
+    aliases = sorted({a for a in (rng.choice(shapes)() for _ in range(60_000)) if len(a) >= 3})[:20_000]
+    assert len(aliases) > 15_000
+    texts = [(i, " ".join(rng.choice([word(), word(), f"{word()} ({word()})x", f"{word()}!", f"{word()}-{word()}", "(" + word(), f"{word()} & {word()}.a", word().upper()]) for _ in range(40))) for i in range(60)]
+    e = spark.createDataFrame([(f"i{k}", [a]) for k, a in enumerate(aliases)], "iri string, aliases array<string>")
+    keys = linking.alias_keys(e)
+    assert not linking.fits_pattern(keys)
+    got = {r["id"]: r["entities"] for r in linking.with_entities(spark.createDataFrame(texts, "id long, text string"), keys).collect()}
+    many = sorted({a.lower() for a in aliases if " " in a}, key=lambda a: (-len(a), a))
+    single = sorted({a for a in aliases if " " not in a}, key=lambda a: (-len(a), a))
+    by = {}
+    for k, a in enumerate(aliases):
+        by.setdefault((" " in a, a.lower() if " " in a else a), []).append(f"i{k}")
+    some = 0
+    for i, t in texts:
+        found = {(True, m.lower()) for m in re.findall(r"(?i)\b(?:" + "|".join(map(re.escape, many)) + r")\b", t)}
+        found |= {(False, m) for m in re.findall(r"\b(?:" + "|".join(map(re.escape, single)) + r")\b", t)}
+        assert got[i] == sorted({iri for f in found for iri in by[f]})
+        some += any(not f[1][-1].isalnum() for f in found)
+    assert some > 10
+
+
+def test_served_models_by_either_endpoint():
+    import http.server
+    import threading
+
+    asked = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, body))
+            if len(asked) == 1 or body["model"] == "bad":
+                self.send_response(503 if len(asked) == 1 else 404)
+                self.end_headers()
+                return
+            vector = lambda t: [float(len(t)), 1.0]
+            out = {"embedding": vector(body["prompt"])} if "prompt" in body else {"embeddings": [vector(t) for t in body["input"]][: 1 if body["model"] == "short" else None]}
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps(out).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        options = {"url": f"http://127.0.0.1:{server.server_port}/", "model": "m"}
+        assert embedding.ServedModel(options)(["a", "bb"]) == [[1.0, 1.0], [2.0, 1.0]]  # after a server error
+        assert asked[-1] == ("/api/embed", {"model": "m", "input": ["a", "bb"]})
+        assert embedding.ServedModel(options | {"single": True})(["ccc"]) == [[3.0, 1.0]]
+        assert asked[-1] == ("/api/embeddings", {"model": "m", "prompt": "ccc"})
+        for model in ("short", "bad"):
+            with pytest.raises(RuntimeError):
+                embedding.ServedModel(options | {"model": model})(["a", "bb"])
+    finally:
+        server.shutdown()
 
 
 def test_checks_report_each_kind(spark):

@@ -47,6 +47,22 @@ def test_keyed_documents_and_missing_files(spark, tmp_path):
         R.documents(spark)
 
 
+def test_globs_are_relative_to_the_root(spark, tmp_path):
+    for name in ("top.md", "a/b/x.md", "a/b/y z+1.md", "a/c/deep/w.md", "a/b/no.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = lambda g, root=str(tmp_path): {r["rel"]: r["text"] for r in R.documents(spark, glob=g, root=root).collect()}
+    assert found("a/b/*.md") == {n: n for n in ("a/b/x.md", "a/b/y z+1.md")}
+    assert found("**/*.md") == {n: n for n in ("top.md", "a/b/x.md", "a/b/y z+1.md", "a/c/deep/w.md")}
+    assert found("a/**/w.md", f"file://{tmp_path}/") == {"a/c/deep/w.md": "a/c/deep/w.md"}
+    with pytest.raises(Exception):
+        found("a/x/*.md")
+
+
+def test_manifests_tell_what_they_lack():
+    assert dataset.absent({"dataset": {"id": "a", "name": "b"}, "ontology": {}, "content": {}, "embeddings": {"dim": 0, "metric": "cosine"}}) == ["dataset.version", "ontology.graph", "ontology.entity_index", "ontology.base_iri", "content.chunks_glob", "embeddings.vectors_glob"]
+
+
 def test_build_describe_and_reread(spark, tmp_path):
     docs = spark.createDataFrame([("d", "# H\n" + "the Gift of fire " * 100)], "slug string, text string")
     ents = spark.createDataFrame([("k/G", ["k/type#Concept"], "Gift", ["Gift", "gift of Fire"], "", [])], "iri string, types array<string>, label string, aliases array<string>, summary string, tags array<string>")
@@ -56,7 +72,7 @@ def test_build_describe_and_reread(spark, tmp_path):
     e = built.entities.head()
     assert (e["attestedIn"], e["definedIn"]) == (["d"], ["d"])
     assert built.vectors.count() == 2
-    m = dataset.describe(built, None, {"id": "t"}, "hashed", "h", 256)
+    m = dataset.describe(built, None, dataset.About("t", "T", "1", "k/"), "hashed", "h", 256)
     assert m["ontology"]["counts"] == {"entities": 1, "by_type": {"Concept": 1}} and m["content"]["counts"]["chunks"] == 2
     R.write_ndjson(built.chunks, str(tmp_path / "chunks"), "doc")
     back = spark.read.schema(S.CHUNK).json(str(tmp_path / "chunks"))
