@@ -3,9 +3,9 @@
 Rows are dealt to blocks by their norms, and a block is cut in shells within which norms differ by a factor of two
 at most.  In a shell, scaled to a longest norm of 1, largest inner product becomes least Euclidean distance by one more
 component, sqrt(1 - |x|^2) for a row and 0 for a query of norm 1.  Rows and queries are projected by one Gaussian
-(2-stable) matrix to a few dimensions, where a kd-tree over all rows of the shell yields them one after another in order
-of their projected distance: leaves are opened nearest first, and a row is due once no closed leaf can hold a nearer one.
-Rows that are due are verified with their original vectors until the chi-square test holds: for a row at
+(2-stable) matrix to a few dimensions, where a kd-tree over all rows of the shell gives the leaves that can hold rows near enough,
+and these their rows in order of projected distance, as far as the k-th found so far asks for them.
+Rows are verified with their original vectors in that order until the chi-square test holds: for a row at
 distance d the squared projected distance over d^2 follows the chi-square law with as many degrees of freedom as
 dimensions, so once the next row is so far that one as near as the k-th found would lie beyond it with
 probability 1 - ``SURE`` at most, the search stops.  The k-th of all blocks read so far counts, and a shell whose longest
@@ -32,8 +32,11 @@ from loomgraph.llm.vectors import Best, search
 
 #: Projected dimensions (even; at most half of a vector's), rows of a leaf, certainty of the stopping test for one neighbour.
 DIMS, LEAF, SURE = 32, 64, 0.88
-#: Leaves opened at first, and rows verified between two tests at first; either doubles.
-OPEN, CHUNK = 8, 32
+#: Rows verified between two tests at first (it doubles), rows that are put in order before a k-th is known, and queries that
+#: read leaves together.
+CHUNK, FIRST, BATCH = 32, 512, 32
+#: Projected distances are single-precision: what they may be off.
+NOISE = 1e-4
 SEED = 7
 
 
@@ -110,11 +113,12 @@ class Shell:
         points = unit @ self.projection[:dim] + np.sqrt(np.maximum(1 - square, 0.0))[:, None] * self.projection[dim]
         leaves = kd_leaves(points, LEAF)
         order = np.concatenate(leaves)
-        self.rows, self.points = rows[order], points[order]
+        self.rows, self.points = rows[order], points[order].astype(np.float32)
+        self.square = (self.points * self.points).sum(axis=1)
         self.stop = np.cumsum([len(r) for r in leaves])
         self.start = self.stop - [len(r) for r in leaves]
-        self.low = np.array([points[r].min(axis=0) for r in leaves])
-        self.high = np.array([points[r].max(axis=0) for r in leaves])
+        self.low = np.array([points[r].min(axis=0) for r in leaves], np.float32) - np.float32(1e-5)
+        self.high = np.array([points[r].max(axis=0) for r in leaves], np.float32) + np.float32(1e-5)
 
 
 class Index:
@@ -125,6 +129,7 @@ class Index:
         dims = max(2, min(dims, x.shape[1] // 4 * 2))
         self.limit, self.verified = chi_square_quantile(sure, dims), 0
         norm = norms(self.x)
+        self.size = float(np.abs(self.x).sum(axis=1).max()) if len(self.x) else 0.0
         order = np.argsort(-norm, kind="stable")
         self.shells = []
         while len(order):
@@ -133,12 +138,12 @@ class Index:
             order = order[n:]
 
     def search(self, q_ids: np.ndarray, q: np.ndarray, best: Best) -> None:
-        for i, (own, v) in enumerate(zip(q_ids, q, strict=True)):
+        for a in range(0, len(q), BATCH):
             for shell in self.shells:
-                self._shell(shell, i, own, v, best)
+                self._shell(shell, range(a, min(len(q), a + BATCH)), q_ids, q, best)
 
     def _score(self, rows: np.ndarray, v: np.ndarray) -> np.ndarray:
-        self.verified += len(rows)
+        """Inner products with the original vectors, row by row."""
         x = self.x[rows]
         with np.errstate(over="ignore", invalid="ignore"):
             s = (x * v).sum(axis=1)
@@ -153,44 +158,59 @@ class Index:
         if kth is None:
             return math.inf
         square = 2 - 2 * max(-1.0, kth / (shell.longest * shell.scale) / length)  # of the k-th so far, in the shell's geometry
-        return -1.0 if square < -1e-9 else self.limit * max(square, 1e-12)
+        return -1.0 if square < -1e-9 else self.limit * max(square, 0.0) + NOISE
 
-    def _shell(self, shell: Shell, i: int, own: int, v: np.ndarray, best: Best) -> None:
-        length = float(norms(v[None])[0])
-        if self._beyond(shell, i, length, best) < 0:
+    def _shell(self, shell: Shell, some: range, q_ids: np.ndarray, q: np.ndarray, best: Best) -> None:
+        """The queries of a batch share the reading of leaves; each has its own order and its own test."""
+        length = norms(q[some.start : some.stop])
+        left = [i for i in some if self._beyond(shell, i, length[i - some.start], best) >= 0]
+        if not left:
             return
-        unit = v / max(abs(v.max()), abs(v.min()))
-        unit = unit / math.sqrt((unit * unit).sum())
-        at = unit @ shell.projection[:-1]
-        gap = np.maximum(np.maximum(shell.low - at, at - shell.high), 0.0)
-        far = (gap * gap).sum(axis=1)
-        order = np.argsort(far, kind="stable")
-        waiting, distance = np.zeros(0, np.int64), np.zeros(0)
-        opened, step, chunk = 0, OPEN, CHUNK
+        v = q[left]
+        unit = v / np.abs(v).max(axis=1)[:, None]
+        at = ((unit / norms(unit)[:, None]) @ shell.projection[:-1]).astype(np.float32)
+        # The least distance of a row in each leaf, and of those leaves that any query may still open, the rows' own.
+        gap = np.maximum(np.maximum(shell.low[None] - at[:, None], at[:, None] - shell.high[None]), 0.0)
+        far = np.einsum("qld,qld->ql", gap, gap)
+        limits = np.array([self._beyond(shell, i, length[i - some.start], best) for i in left])
+        leaves = np.flatnonzero((far <= limits[:, None]).any(axis=0))
+        rows = np.concatenate([np.arange(shell.start[j], shell.stop[j]) for j in leaves]) if len(leaves) < len(shell.start) else slice(None)
+        points = shell.points[rows]
+        distance = np.maximum((at * at).sum(axis=1)[:, None] + shell.square[rows][None] - 2 * (at @ points.T), 0.0)
+        numbers = shell.rows[rows]
+        for d, i, w in zip(distance, left, v, strict=True):
+            self._nearest(shell, d, numbers, i, q_ids[i], w, length[i - some.start], best)
+
+    def _nearest(self, shell: Shell, d: np.ndarray, numbers: np.ndarray, i: int, own: int, v: np.ndarray, length: float, best: Best) -> None:
+        """Verifies rows in order of their projected distance until the test holds."""
+        chunk = CHUNK
+        if best.kth(i) is None and len(d) > FIRST:
+            near = np.argpartition(d, FIRST)[:FIRST]
+        else:
+            near = np.flatnonzero(d <= self._beyond(shell, i, length, best))
+        near = near[np.argsort(d[near], kind="stable")]
+        left = np.ones(len(d), bool)
         while True:
-            if opened < len(order):
-                new = np.concatenate([np.arange(shell.start[j], shell.stop[j]) for j in order[opened : opened + step]])
-                opened, step = opened + step, step * 2
-                d = shell.points[new] - at
-                waiting, distance = np.concatenate([waiting, new]), np.concatenate([distance, (d * d).sum(axis=1)])
-            bound = far[order[opened]] if opened < len(order) else math.inf
-            due = distance <= bound
-            rows, d = waiting[due], distance[due]
-            waiting, distance = waiting[~due], distance[~due]
-            nth = np.argsort(d, kind="stable")
-            rows, d = rows[nth], d[nth]
-            while len(rows):
-                n = int(np.searchsorted(d[:chunk], self._beyond(shell, i, length, best), "right"))
-                self._verify(shell.rows[rows[:n]], i, own, v, best)
-                if n < min(chunk, len(rows)):
+            while len(near):
+                n = int(np.searchsorted(d[near[:chunk]], self._beyond(shell, i, length, best), "right"))
+                self._verify(numbers[near[:n]], i, own, v, best)
+                if n < min(chunk, len(near)):
                     return
-                rows, d, chunk = rows[n:], d[n:], chunk * 2
-            if bound == math.inf or bound > self._beyond(shell, i, length, best):
+                left[near[:n]] = False
+                near, chunk = near[n:], chunk * 2
+            near = np.flatnonzero(left & (d <= self._beyond(shell, i, length, best)))
+            if not len(near):
                 return
+            near = near[np.argsort(d[near], kind="stable")]
 
     def _verify(self, rows: np.ndarray, i: int, own: int, v: np.ndarray, best: Best) -> None:
-        score = self._score(rows, v)
+        self.verified += len(rows)
         kth = best.kth(i)
+        if kth is not None and len(rows) > 64:  # only those near the k-th are scored row by row
+            with np.errstate(over="ignore", invalid="ignore"):
+                rough = self.x[rows] @ v
+                rows = rows[~(rough < kth - 1e-9 * abs(kth) - 1e-12 * self.size * np.abs(v).max())]
+        score = self._score(rows, v)
         if kth is not None:
             near = score >= kth
             rows, score = rows[near], score[near]
