@@ -11,7 +11,7 @@ from functools import lru_cache
 from struct import pack
 
 #: Words of a cache; beyond it, it starts anew.  About 200 bytes each.
-CACHE = 150_000
+CACHE = 200_000
 #: Letters whose class and lower case no Unicode version changes: ASCII without controls, Latin-1, Latin Extended-A.
 PLAIN = re.compile("[\x09\x0a\x20-\x7e¡-¬®-İĲ-ž]*")
 
