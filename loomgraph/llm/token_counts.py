@@ -24,7 +24,7 @@ from loomgraph.llm import tokens
 from loomgraph.llm.common import ship
 
 #: Characters from which on a text is cut in chunks, of a chunk, and of an overlap at first.
-HUGE, CHUNK, OVERLAP = 8_192, 4_096, 128
+HUGE, CHUNK, OVERLAP = 16_384, 4_096, 128
 
 _STABLE = re.compile(r"(?<=\S) (?=\S)")
 
