@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +22,7 @@ from loomgraph.sources.staging import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of a batch for a Python worker.
-BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 #: Bytes up to which a table is broadcast.
 BROADCAST_BYTES = 16 << 20
 
@@ -51,6 +53,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def lean(go: Callable) -> Callable:
+    """A function over the batches of a task that leaves little behind in its Python worker, which serves later tasks, too: words that
+    tokenizers keep from an earlier operator go before it, and free memory goes back to the system after it."""
+
+    @wraps(go)
+    def run(batches: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow
+
+        from loomgraph.llm import tokens
+
+        tokens.words_of.cache_clear()
+        tokens.library.cache_clear()
+        yield from go(batches)
+        pyarrow.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return run
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

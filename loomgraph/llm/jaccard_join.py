@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import Stage, ship, small
+from loomgraph.llm.common import Stage, lean, ship, small
 from loomgraph.llm.shingles import shingles
 from loomgraph.operators.components import components
 
@@ -45,6 +45,7 @@ RUN, OFTEN, LOWEST = 1_000_000, 3, int(0.3 * 2**64)
 def common_tokens(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Common tokens, sorted, and how often each was seen.  This sets the order only; no result depends on it."""
 
+    @lean
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
 
@@ -108,6 +109,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _as_sets(docs: DataFrame, n: int) -> DataFrame:
+    @lean
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingles(t, n) for t in pdf["text"]]
@@ -156,6 +158,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     common = spark.sparkContext.broadcast(common_tokens(docs, n))
 
+    @lean
     def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         token, times = common.value
         for pdf in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import WORD, Stage, small
+from loomgraph.llm.common import WORD, Stage, lean, small
 
 #: Words of a block; a shard's blocks differ by one word at most.
 BLOCK = 16
@@ -160,6 +160,7 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
             parts += [text[at[s["start"]][0] : at[s["stop"] - 1][1]] for s in spans]
         return "\n\n".join(parts)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {name: batch.column(name) for name in batch.schema.names}

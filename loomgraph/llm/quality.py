@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import Stage, ship
+from loomgraph.llm.common import Stage, lean, ship
 from loomgraph.llm.shingles import mix
 
 #: The bound of the labelled sample, and the share of it that is held out to calibrate.
@@ -291,6 +291,7 @@ class Pool:
         self.table, self.size = table, table.count()
 
     def steps(self, views: tuple[View, View], history: History) -> list[dict[int, int]]:
+        @lean
         def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = [np.zeros(2 * LAST + 1, np.int64) for _ in range(2)]
             for pdf in batches:
@@ -304,6 +305,7 @@ class Pool:
         return [{r["step"]: r["n"] for r in rows if r["view"] == v} for v in range(2)]
 
     def sums(self, history: History) -> dict[tuple[int, int], np.ndarray]:
+        @lean
         def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total: dict[tuple[int, int], np.ndarray] = {}
             for pdf in batches:
@@ -327,6 +329,7 @@ class Pool:
 def feature_table(docs: DataFrame) -> DataFrame:
     """doc_id, one, two of every row with words."""
 
+    @lean
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             one, two, some = features(pdf["text"], pdf["lang"], pdf["source"])
