@@ -85,7 +85,7 @@ class Stage:
     """Tables written to the shared folder to cut lineage.
 
     A lost executor loses none of them.  ``drop`` removes those that nothing lazy still reads; the
-    rest go when the driver ends, or when ``clear`` is called after the results have been written.  All lie below one
+    rest go when the driver ends, or by ``remove`` after the results have been written.  All lie below one
     folder per application, by which the tables of a killed driver can be told and removed."""
 
     made: list[Stage] = []
@@ -96,12 +96,9 @@ class Stage:
         Stage.made.append(self)
         atexit.register(self._clean)
 
-    @classmethod
-    def clear(cls, since: int = 0) -> None:
-        """Removes the tables of all stages from a number in ``made`` on."""
-        for s in cls.made[since:]:
-            s._clean()
-        del cls.made[since:]
+    def remove(self) -> None:
+        self._clean()
+        Stage.made.remove(self)
 
     def _clean(self) -> None:
         try:
