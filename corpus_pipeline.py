@@ -2,7 +2,8 @@
 
 Each stage takes what the one before it kept, as (spark, docs, sf_dir), and returns documents with the same
 columns; the last returns the packed pieces.  Between stages documents are written as Parquet to the shared
-folder and read again, and the tables that a stage made for itself are removed.
+folder and read again; the tables that a stage made for itself go when the next one is called, unless its documents still
+read them.
 
 Defined cases: those of the operators; further, a document that line dedup empties is a copy and goes; of a group
 of near duplicates the row with the least doc_id stays, rows without one coming last; rows that share a doc_id are
@@ -14,6 +15,9 @@ against brute-force versions of them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +52,7 @@ def own_ids(docs: DataFrame, stage: Stage) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least number of each group of near duplicates."""
     stage = Stage(spark, "near")
-    own = stage.write(own_ids(docs, stage), "own")
+    own = own_ids(docs, stage)
     classes = jaccard_join.jaccard_classes(own.drop("__id"), SHINGLE, PERCENT)
     gone = stage.write(classes.filter("doc_id <> component_id").select("doc_id"), "gone")
     out = own.join(small(gone), "doc_id", "left_anti")
@@ -58,7 +62,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as much of them, as their source's target takes."""
     stage = Stage(spark, "mix")
-    own = stage.write(own_ids(docs, stage), "own")
+    own = own_ids(docs, stage)
     out = mixing.apply_mix(own, mixing.mix(own))
     return out.withColumn("doc_id", F.coalesce(F.col("__id").cast("long"), "doc_id")).select(docs.columns)
 
@@ -68,12 +72,32 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, WORD_BPE)
 
 
+_held: list[Stage] = []
+
+
+def _tidy(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage that first removes the tables of those before it, whose results have been written by now."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        for s in [s for s in _held if not any(s.root.split(":", 1)[-1] in path for path in read)]:
+            s.remove()
+            _held.remove(s)
+        first = len(Stage.made)
+        out = step(spark, docs, sf_dir)
+        _held.extend(Stage.made[first:])
+        return out
+
+    return run
+
+
 STAGES = [
-    ("quality classifier", keep_good),
-    ("line dedup", drop_repeated_lines),
-    ("near duplicates", drop_near_duplicates),
-    ("source mix", mix_sources),
-    ("best-fit packing", pack_sequences),
+    ("quality classifier", _tidy(keep_good)),
+    ("line dedup", _tidy(drop_repeated_lines)),
+    ("near duplicates", _tidy(drop_near_duplicates)),
+    ("source mix", _tidy(mix_sources)),
+    ("best-fit packing", _tidy(pack_sequences)),
 ]
 
 ORACLE_SQL = None
@@ -82,7 +106,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage, docs = Stage(spark, "pipeline"), table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        made = len(Stage.made)
         docs = stage.write(step(spark, docs, sf_dir), name.replace(" ", "-"))
-        Stage.clear(made)
     return docs
