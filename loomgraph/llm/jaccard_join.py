@@ -126,7 +126,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, perc
     if not ids.filter("doc_id is null").isEmpty():
         wanted = wanted.unionAll(docs.filter("doc_id is null").select("text"))
     # A doc_id may have other texts, too: the digest tells which is the class's.
-    sets = stage.write(_as_sets(wanted, n).join(small(ids.select("rep", "digest")), "digest").drop("digest").dropDuplicates(["rep"]), "sets")
+    sets = stage.write(_as_sets(wanted, n).join(small(ids.select("rep", "digest")), "digest").drop("digest"), "sets")
+    # Several rows of one set: only where a doc_id repeats or is null.
+    if not sets.groupBy("rep").agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty():
+        sets, whole = stage.write(sets.dropDuplicates(["rep"]), "sets"), sets
+        stage.drop(whole)
     left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
     both = left.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
     common, total = F.size(F.array_intersect("ta", "tb")), F.size("ta") + F.size("tb")
@@ -173,12 +177,17 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     outlined = texts.mapInPandas(outline, "doc_id string, n_shingles long, digest binary, first array<long>")
     outlined = stage.write(outlined.withColumn("doc_id", F.col("doc_id").cast("long")), "outlines")
     alike = outlined.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("first").alias("first"))
-    classes = _numbered(stage.write(alike, "alike"), stage)
+    alike = stage.write(alike, "alike")
+    outlined, whole = stage.write(outlined.select("doc_id", "n_shingles", "digest"), "outlines"), outlined
+    stage.drop(whole)
+    numbered = _numbered(alike, stage)
+    stage.drop(alike)
     # One row per class and token, for tokens of two classes or more.
-    tokens = stage.write(classes.select("rep", "n", F.posexplode("first").alias("pos", "token")), "tokens")
+    tokens = numbered.select("rep", "n", F.posexplode("first").alias("pos", "token"))
     held = tokens.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("holders")).filter("holders > 1").drop("holders")
     shared = stage.write(tokens.withColumn("pos", F.col("pos") + 1).join(held, "token"), "shared")
-    stage.drop(tokens)
+    classes = stage.write(numbered.drop("first"), "classes")
+    stage.drop(numbered)
 
     texts = docs.filter("text is not null")
     pointed = shared.filter("rep <> lead").groupBy("rep", "n", "lead").agg(F.count("*").alias("c")).filter(F.col("c") >= depth(F.floor(F.col("n") * percent / 100)))
@@ -202,14 +211,17 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
 def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int, stage: Stage) -> DataFrame:
     """Links between members of different groups, by the token-group matrix."""
     own = shared.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("grp"))
-    own = stage.write(own, "grouped")
+    grouped = stage.write(own, "grouped")
+    stage.drop(shared)
     # The matrix, of tokens that more than one group holds: the range of sizes of the members that hold a token, and
     # how early it comes at best (the part of ``within`` that depends on the member).
-    wide = own.groupBy("token").agg((F.min("grp") < F.max("grp")).alias("wide")).filter("wide").select("token")
-    own = stage.write(own.join(wide, "token", "left_semi"), "wide")
+    several = grouped.groupBy("token").agg((F.min("grp") < F.max("grp")).alias("wide")).filter("wide").select("token")
+    wide = stage.write(grouped.join(several, "token", "left_semi"), "wide")
+    stage.drop(grouped)
     # Whoever holds fewer such tokens than a similar pair shares is out, as one who asks and as a member.
-    enough = own.groupBy("rep", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= depth(F.floor(F.col("n") * percent / 100))).select("rep")
-    own = stage.write(own.join(enough, "rep", "left_semi"), "enough")
+    enough = wide.groupBy("rep", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= depth(F.floor(F.col("n") * percent / 100))).select("rep")
+    own = stage.write(wide.join(small(stage.write(enough, "asking")), "rep", "left_semi"), "enough")
+    stage.drop(wide)
     early = F.min(F.col("pos") * (100 + percent) - 100 * F.col("n")).alias("early")
     matrix = own.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), early)
     near = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100) & (F.col("other") < F.col("grp"))
@@ -227,4 +239,5 @@ def _between(shared: DataFrame, groups: DataFrame, tried: DataFrame, classes: Da
     pairs = pairs.filter(F.col("c") >= l).select("a", "b")
     done = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = stage.write(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    stage.drop(own, hits)
     return verified(pairs, classes, texts, n, percent, stage)
