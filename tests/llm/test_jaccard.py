@@ -67,6 +67,14 @@ def test_awkward_cases(spark):
     assert jaccard_join.jaccard_classes(empty(spark)).count() == 0
 
 
+def test_rows_that_repeat_or_have_no_doc_id_link_by_their_sets(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(1, a), (1, a), (2, a + " x"), (None, b), (None, b), (None, b + " y"), (7, b + " z"), (9, "q r s t"), (10, None), (10, "")]
+    out = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, 98, 1), (1, 98, 1), (2, 99, 1), (None, 98, 7), (None, 98, 7), (None, 99, 7), (7, 99, 7), (9, 2, 9), (10, 0, 10), (10, 0, 10)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+
+
 def test_first_tokens_meet_wherever_sets_are_similar():
     import numpy as np
 
