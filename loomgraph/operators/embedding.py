@@ -1,53 +1,141 @@
-"""Embeddings: the deterministic hashed provider as a DataFrame plan, and pluggable model providers."""
+"""Embeddings: the deterministic hashed provider, text by text, and pluggable model providers."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from loomgraph.functions import vectors as V
 
+try:
+    from _md5 import md5  # CPython's own, which is faster on short strings
+except ImportError:
+    from hashlib import md5
+
 DIM = 256
+#: Values that a task holds back before it hands them on.
+HELD = 1 << 16
+
+
+def _counted(lowered: str | None, into: Counter[str]) -> None:
+    """Counts the tokens of a text and its pairs of neighbours."""
+    toks = re.findall("[a-z0-9]+", lowered or "")
+    into.update(toks)
+    into.update(map("_".join, pairwise(toks)))
+
+
+def _cells(grams: Counter[str], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The indices that a gram falls on, and the sums there: the first four bytes of a gram's MD5 are its place, the low bit of the fifth its sign."""
+    hashes = np.frombuffer(b"".join([md5(g.encode()).digest() for g in grams]), np.uint8).reshape(-1, 16)
+    at = np.ascontiguousarray(hashes[:, :4]).view(">u4").ravel().astype(np.int64) % dim
+    w = np.where(hashes[:, 4] & 1, 1.0, -1.0) * (1.0 + np.log(np.fromiter(grams.values(), np.float64, len(grams))))
+    held = np.bincount(at, minlength=dim) > 0
+    return np.flatnonzero(held), np.bincount(at, w, dim)[held]
+
+
+def _unit(w: np.ndarray) -> np.ndarray:
+    norm = np.sqrt(w @ w)
+    return w / norm if norm > 0 else w
+
+
+def _by_text(texts: DataFrame, kind: str, row: Callable[[Counter[str]], tuple], merged: bool, size: int = 1) -> DataFrame:
+    """id and the columns of ``kind``, made from the counted grams of one text at a time, so that a task holds one text's grams, not its
+    partition's.  ``merged`` takes rows of one id as one text; they are brought together by sorting the texts, which are the only
+    thing that is shuffled.  ``size``: values in a row, about."""
+    schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), *T._parse_datatype_string(kind).fields])
+    x = texts.select("id", F.lower("text").alias("text"))
+    if merged:
+        x = x.repartition("id").sortWithinPartitions("id")
+    most = max(1, HELD // size)
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        ids, rows, open_, last = [], [], None, None
+
+        def out() -> pa.RecordBatch:
+            columns = zip(*rows) if rows else ((),) * (len(arrow) - 1)
+            batch = pa.RecordBatch.from_arrays([pa.array(ids, arrow.field(0).type), *(pa.array(list(c), f.type) for c, f in zip(columns, list(arrow)[1:]))], schema=arrow)
+            ids.clear()
+            rows.clear()
+            return batch
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if open_ is not None and not (merged and i == last):
+                    ids.append(last)
+                    rows.append(row(open_))
+                    open_ = None
+                    if len(ids) >= most:
+                        yield out()
+                if open_ is None:
+                    open_, last = Counter(), i
+                _counted(text.as_py(), open_)
+        if open_ is not None:
+            ids.append(last)
+            rows.append(row(open_))
+        if ids:
+            yield out()
+
+    return x.mapInArrow(go, schema)
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """id, gram, n: tokens and neighbouring pairs of each text (id, text).
+    """id, gram, n: tokens and neighbouring pairs of each text (id, text); rows of one id are one text."""
+    counts = _by_text(texts, "grams array<string>, ns array<bigint>", lambda g: (list(g), list(g.values())), True, 1000)
+    return counts.select("id", F.explode(F.arrays_zip("grams", "ns")).alias("g")).select("id", F.col("g.grams").alias("gram"), F.col("g.ns").alias("n"))
+
+
+def _sparse(texts: DataFrame, dim: int, unit: bool) -> DataFrame:
+    """id, idx, w of one row for each id, as arrays; ``unit`` has them normalised."""
+
+    def row(g: Counter[str]) -> tuple:
+        at, w = _cells(g, dim)
+        return at, _unit(w) if unit else w
 
-    Texts are dealt out by id first: grams are then counted, hashed and summed where they are, without another shuffle."""
-    return texts.select("id", "text").repartition("id").select("id", F.explode(V.grams(V.tokens("text"))).alias("gram")).groupBy("id", "gram").agg(F.count("*").alias("n"))
+    return _by_text(texts, "idx array<int>, w array<double>", row, True, 2 * dim)
 
 
 def hashed_sparse(texts: DataFrame, dim: int = DIM) -> DataFrame:
     """id, idx, w: the vectors before normalisation, without zeros that no gram fell on."""
-    g = term_counts(texts).select("id", "n", F.md5("gram").alias("hash"))
-    g = g.select("id", V.bucket_of("hash", dim).alias("idx"), (V.sign_of("hash") * V.weight("n")).alias("w"))
-    return g.groupBy("id", "idx").agg(F.sum("w").alias("w"))
+    return _exploded(_sparse(texts, dim, False), "w")
 
 
-def _cells(texts: DataFrame, dim: int) -> DataFrame:
-    """id, cells (idx, w), norm."""
-    return hashed_sparse(texts, dim).groupBy("id").agg(F.collect_list(F.struct("idx", "w")).alias("cells"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+def hashed_units(texts: DataFrame, dim: int = DIM, digits: int = 6) -> DataFrame:
+    """id, idx, v: the same normalised, and rounded as vectors are stored."""
+    return _exploded(_sparse(texts, dim, True), "v").withColumn("v", F.bround("v", digits))
+
+
+def _exploded(cells: DataFrame, name: str) -> DataFrame:
+    return cells.select("id", F.explode(F.arrays_zip("idx", "w")).alias("c")).select("id", F.col("c.idx").alias("idx"), F.col("c.w").alias(name))
 
 
 def hashed_scores(texts: DataFrame, query: list[float], digits: int = 6) -> DataFrame:
     """id, score: the inner product of each text's vector, rounded as it is stored, with a query's, from the cells alone."""
     q = F.array(*(F.lit(float(x)) for x in query))
-    unit = lambda c: F.bround(F.when(F.col("norm") > 0, c["w"] / F.col("norm")).otherwise(c["w"]), digits)
-    dot = F.aggregate("cells", F.lit(0.0), lambda s, c: s + unit(c) * F.get(q, c["idx"]))
-    return _cells(texts, len(query)).select("id", dot.alias("score"))
+    cells = F.zip_with("idx", F.transform("w", lambda w: F.bround(w, digits)), lambda i, v: v * F.get(q, i))
+    return _sparse(texts, len(query), True).filter(F.size("idx") > 0).select("id", F.aggregate(cells, F.lit(0.0), lambda s, x: s + x).alias("score"))
 
 
 def hashed_vectors(texts: DataFrame, dim: int = DIM) -> DataFrame:
-    """id, vector: normalised; a text without tokens has the zero vector."""
-    cells = _cells(texts, dim)
-    unit = F.transform("cells", lambda c: F.struct(c["idx"].alias("idx"), F.when(F.col("norm") > 0, c["w"] / F.col("norm")).otherwise(c["w"]).alias("w")))
-    cells = cells.select("id", F.map_from_entries(unit).alias("cells"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit(0.0)))
-    x = texts.select("id").join(cells, "id", "left")
-    return x.select("id", F.when(F.col("cells").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(dense).alias("vector"))
+    """id, vector of each row, without a shuffle: normalised; a text without tokens has the zero vector."""
+
+    def row(g: Counter[str]) -> tuple:
+        out = np.zeros(dim)
+        at, w = _cells(g, dim)
+        out[at] = _unit(w)
+        return (out,)
+
+    return _by_text(texts, "vector array<double>", row, False, dim)
 
 
 #: Name to a function (options) -> (function of a list of texts to a list of vectors).
