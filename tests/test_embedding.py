@@ -47,3 +47,12 @@ def test_units_need_one_shuffle_of_the_texts(texts):
     want = {(i, k): w / (math.sqrt(sum(x * x for x in c.values())) or 1) for i, g in model().items() if (c := cells(g)) for k, w in c.items()}
     got = [((r["id"], r["idx"]), r["v"]) for r in df.collect()]
     assert len(got) == len(want) and dict(got) == pytest.approx(want, abs=1e-6)
+
+
+def test_sparse_cells_are_summed_in_their_row(texts):
+    """hashed_sparse: two aggregates over all grams of a partition."""
+    df = embedding.hashed_sparse(texts)
+    assert "Aggregate" not in steps(df)
+    want = {(i, k): w for i, g in model().items() for k, w in cells(g).items()}
+    got = [((r["id"], r["idx"]), r["w"]) for r in df.collect()]
+    assert len(got) == len(want) and dict(got) == pytest.approx(want)
