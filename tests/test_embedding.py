@@ -56,3 +56,14 @@ def test_sparse_cells_are_summed_in_their_row(texts):
     want = {(i, k): w for i, g in model().items() for k, w in cells(g).items()}
     got = [((r["id"], r["idx"]), r["w"]) for r in df.collect()]
     assert len(got) == len(want) and dict(got) == pytest.approx(want)
+
+
+def test_scores_need_no_aggregate(texts):
+    """hashed_topk: its aggregates over grams spilled."""
+    q = [0.0] * 256
+    q[next(iter(cells({"first": 1})))] = 1.0
+    df = embedding.hashed_scores(texts, q)
+    assert "Aggregate" not in steps(df)
+    at = q.index(1.0)
+    want = {i: round(c.get(at, 0.0) / math.sqrt(sum(x * x for x in c.values())), 6) for i, g in model().items() if (c := cells(g))}
+    assert {r["id"]: r["score"] for r in df.collect()} == pytest.approx(want, abs=1e-6)
