@@ -67,3 +67,18 @@ def test_scores_need_no_aggregate(texts):
     at = q.index(1.0)
     want = {i: round(c.get(at, 0.0) / math.sqrt(sum(x * x for x in c.values())), 6) for i, g in model().items() if (c := cells(g))}
     assert {r["id"]: r["score"] for r in df.collect()} == pytest.approx(want, abs=1e-6)
+
+
+def test_counts_are_made_text_by_text(texts):
+    """tf_grams: its aggregate held all grams of a partition; an id may go over batches."""
+    df = embedding.term_counts(texts)
+    assert "Aggregate" not in steps(df)
+    got = [((r["id"], r["gram"]), r["n"]) for r in df.collect()]
+    assert len(got) == len(set(got)) and dict(got) == {(i, g): n for i, c in model().items() for g, n in c.items()}
+    many = texts.sparkSession.range(0, 900, 1, 1).select((F.col("id") % 3).alias("id"), F.lit("a b a").alias("text"))
+    size = texts.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert {(r["id"], r["gram"]): r["n"] for r in embedding.term_counts(many).collect()} == {(i, g): n for i in range(3) for g, n in {"a": 600, "b": 300, "a_b": 300, "b_a": 300}.items()}
+    finally:
+        texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
