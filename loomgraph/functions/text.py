@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Unicode has it, with the four separators that Unicode leaves out.
-SPACE = r"[\s\x1c-\x1f]"
+#: White space as Unicode has it, with the four separators that Unicode leaves out; spelled out, as Java's own class of Unicode is slow.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _U = "(?U)"
 
 
@@ -36,15 +39,27 @@ def slugify(c: Column | str, series: str | None = None) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once: an array of one holds it, where a plain column would be written out at every use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _cleaned(c: Column | str) -> Column:
+    """clean_text before its runs of white space are settled.  A pattern is tried only where a character that it needs is there."""
+    steps = [("](", r"\[([^\]]+)\]\([^)]*\)", "$1"), ("<", "<[^>]+>", " "), ("&", "&[a-z]+;", " "), ("\xa0", r"\xa0", " "), (">", rf"^{SPACE}*>{SPACE}?", "")]
+    step = lambda needs, pattern, by: lambda x: F.when(x.contains(needs), F.regexp_replace(x, pattern, by)).otherwise(x)
+    return reduce(lambda c, s: bound(c, step(*s)), steps, _col(c))
+
+
 def clean_text(c: Column | str) -> Column:
     """Links to labels; tags, named references and no-break spaces to spaces; one leading quote mark dropped (of the
     first line only); runs of spaces and tabs to one space; stripped."""
-    c = F.regexp_replace(_col(c), r"\[([^\]]+)\]\([^)]*\)", "$1")
-    c = F.regexp_replace(c, "<[^>]+>", " ")
-    c = F.regexp_replace(c, "&[a-z]+;", " ")
-    c = F.regexp_replace(c, r"\xa0", " ")
-    c = F.regexp_replace(c, rf"{_U}^{SPACE}*>{SPACE}?", "")
-    return strip(F.regexp_replace(c, "[ \t]+", " "))
+    return strip(F.regexp_replace(_cleaned(c), "[ \t]+", " "))
+
+
+def clean_words(c: Column | str) -> Column:
+    """The words of a cleaned text: what lies between white space."""
+    return F.array_remove(F.split(_cleaned(c), f"{SPACE}+"), "")
 
 
 def clean_heading(c: Column | str) -> Column:

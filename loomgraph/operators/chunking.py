@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,8 +17,35 @@ _HEADING = rf"(?U)^#{{1,6}}{T.SPACE}"
 
 def lines_of(text: Column) -> Column:
     """Lines; the empty one behind a last break is none."""
-    parts = F.split(text, BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return T.bound(F.split(text, BREAK, -1), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts))
+
+
+def _sections(text: Column) -> Column:
+    """The sections (heading_path, body) of a text, as an array."""
+    return T.bound(lines_of(text), _sections_of_lines)
+
+
+def _sections_of_lines(lines: Column) -> Column:
+    heads = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("i"), F.when(line.rlike(_HEADING), F.length(F.regexp_extract(line, "^#+", 0))).otherwise(0).alias("level"))), lambda h: h["level"] > 0)
+
+    def all_of(starts: Column) -> Column:
+        def section(s: Column, k: Column) -> Column:
+            stop = F.coalesce(F.get(starts, k + 1)["i"], F.size(lines))
+            # Headings in force at k: no heading between them and k has their level or a lower one.  Read backwards,
+            # the levels form a strictly falling sequence.
+            force = F.aggregate(
+                F.reverse(F.slice(starts, F.lit(2), k)),
+                F.struct(F.lit(7).alias("least"), F.array().cast("array<int>").alias("at")),
+                lambda acc, h: F.when(h["level"] < acc["least"], F.struct(h["level"].alias("least"), F.concat(F.array(h["i"]), acc["at"]).alias("at"))).otherwise(acc),
+            )
+            return F.struct(force["at"].alias("at"), s["i"].alias("start"), stop.alias("stop"))
+
+        found = F.filter(F.transform(starts, section), lambda s: s["stop"] - s["start"] > 1)
+        path = lambda s: F.transform(s["at"], lambda i: T.clean_heading(F.get(lines, i)))
+        body = lambda s: F.array_join(F.slice(lines, s["start"] + 2, s["stop"] - s["start"] - 1), "\n")
+        return F.transform(found, lambda s: F.struct(path(s).alias("heading_path"), body(s).alias("body")))
+
+    return T.bound(F.concat(F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("level"))), heads), all_of)
 
 
 def sections(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -26,29 +53,7 @@ def sections(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A heading ends the section before it, which counts if it has a line at all.  The path of a section is, of
     each level, the last heading so far that no later heading of its level or above has closed."""
-    x = docs.withColumn("__lines", lines_of(F.col(text)))
-    numbered = F.transform("__lines", lambda line, i: F.struct(i.alias("i"), F.when(line.rlike(_HEADING), F.length(F.regexp_extract(line, "^#+", 0))).otherwise(0).alias("level")))
-    x = x.withColumn("__heads", F.filter(numbered, lambda h: h["level"] > 0))
-    starts = F.concat(F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("level"))), F.col("__heads"))
-    x = x.withColumn("__starts", starts)
-
-    def section(s: Column, k: Column) -> Column:
-        stop = F.coalesce(F.get("__starts", k + 1)["i"], F.size("__lines"))
-        # Headings in force at k: no heading between them and k has their level or a lower one.  Read backwards,
-        # the levels form a strictly falling sequence.
-        so_far = F.reverse(F.slice("__starts", 2, k))
-        force = F.aggregate(
-            so_far,
-            F.struct(F.lit(7).alias("least"), F.array().cast("array<int>").alias("at")),
-            lambda acc, h: F.when(h["level"] < acc["least"], F.struct(h["level"].alias("least"), F.concat(F.array(h["i"]), acc["at"]).alias("at"))).otherwise(acc),
-        )
-        return F.struct(force["at"].alias("at"), s["i"].alias("start"), stop.alias("stop"))
-
-    x = x.withColumn("__sections", F.filter(F.transform("__starts", section), lambda s: s["stop"] - s["start"] > 1))
-    x = x.select(*docs.columns, "__lines", F.posexplode("__sections").alias("section", "__s"))
-    path = F.transform(F.col("__s")["at"], lambda i: T.clean_heading(F.get("__lines", i)))
-    body = F.array_join(F.slice("__lines", F.col("__s")["start"] + 2, F.col("__s")["stop"] - F.col("__s")["start"] - 1), "\n")
-    return x.select(*docs.columns, "section", path.alias("heading_path"), body.alias("body"))
+    return docs.select(*docs.columns, F.posexplode(_sections(F.col(text))).alias("section", "__s")).select(*docs.columns, "section", "__s.*")
 
 
 def windows(words: Column, target: int, overlap: int) -> Column:
@@ -58,11 +63,6 @@ def windows(words: Column, target: int, overlap: int) -> Column:
     return F.when(n <= target, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), last, F.lit(step)))
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value) with the value computed once: an array of one holds it, where a plain column would be written out at every use."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 _ANY_HEADING = rf"(?U)(?:^|{BREAK})#{{1,6}}{T.SPACE}"
 
 
@@ -74,22 +74,22 @@ def _windowed(body: Column, path: Column, size: int, shared: int, min_words: int
         starts = F.filter(windows(words, size, shared), lambda start: n(start) >= min_words)
         return F.transform(starts, lambda start: F.struct(path.alias("heading_path"), F.array_join(F.slice(words, start + 1, size), " ").alias("text"), n(start).cast("int").alias("n_words")))
 
-    return bound(T.flatten(T.clean_text(body)), lambda flat: bound(F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " ")), cut))
+    return T.bound(T.clean_words(body), cut)
 
 
-def chunk(docs: DataFrame, slug: str, text: str = "text", tokens: int = 320, overlap: int = 48, min_words: int = 12) -> DataFrame:
-    """id, doc, seq, heading_path, text, n_words, token_est; chunks are numbered after short ones are dropped.
+def chunk(docs: DataFrame, slug: str, text: str = "text", tokens: int = 320, overlap: int = 48, min_words: int = 12, keep: Sequence[str] = ()) -> DataFrame:
+    """id, doc, seq, heading_path, text, n_words, token_est, and the columns of the document to keep; chunks are numbered after short ones
+    are dropped.
 
-    A slug is its row's own, so that all chunks of a document come from its row, in order and numbered, without a shuffle.  Only texts with
-    a heading are cut in sections."""
+    A slug is its row's own, so that all chunks of a document come from its row, in order and numbered, in one scan without a shuffle.
+    Only texts with a heading are cut in sections."""
     size, shared = T.word_budget(tokens, overlap)
-    d = docs.select(F.col(slug).alias("doc"), F.col(text).alias("__text")).filter("__text is not null").withColumn("__headed", F.col("__text").rlike(_ANY_HEADING))
-    plain = d.filter("not __headed").select("doc", _windowed(F.col("__text"), F.array().cast("array<string>"), max(size, 1), shared, max(min_words, 1)).alias("__w"))
-    s = sections(d.filter("__headed").select("doc", "__text"), "__text")
-    s = s.select("doc", "section", _windowed(F.col("body"), F.col("heading_path"), max(size, 1), shared, max(min_words, 1)).alias("__w"))
-    headed = s.groupBy("doc").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("section", "__w"))), lambda x: x["__w"])).alias("__w"))
-    w = plain.unionByName(headed).select("doc", F.posexplode("__w").alias("seq", "w")).select("doc", "seq", "w.*")
-    return w.select(T.chunk_id("doc", "seq").alias("id"), "doc", "seq", "heading_path", "text", "n_words", T.token_estimate("n_words").alias("token_est"))
+    windowed = lambda body, path: _windowed(body, path, max(size, 1), shared, max(min_words, 1))
+    body = F.col(text)
+    cut = F.flatten(F.transform(_sections(body), lambda s: windowed(s["body"], s["heading_path"])))
+    w = F.when(body.contains("#") & body.rlike(_ANY_HEADING), cut).otherwise(windowed(body, F.array().cast("array<string>")))
+    d = docs.filter(body.isNotNull()).select(F.col(slug).alias("doc"), *keep, F.posexplode(w).alias("seq", "w")).select("doc", *keep, "seq", "w.*")
+    return d.select(T.chunk_id("doc", "seq").alias("id"), "doc", "seq", "heading_path", "text", "n_words", T.token_estimate("n_words").alias("token_est"), *keep)
 
 
 def batches(chunks: DataFrame, size: int = 120) -> DataFrame:

@@ -59,3 +59,12 @@ def test_numbering_skips_short_chunks(spark):
     docs = spark.createDataFrame([("d", "# a\nshort\n# b\n" + "w " * 20)], "slug string, text string")
     rows = chunking.chunk(docs, "slug").collect()
     assert [(r["id"], r["heading_path"], r["n_words"], r["token_est"]) for r in rows] == [("d::0000", ["b"], 20, 26)]
+
+
+def test_texts_are_read_once(spark, tmp_path):
+    """One scan and no shuffle, whether texts have headings or not; columns to keep come along, and rows of one slug stay apart."""
+    spark.createDataFrame([("d", "a", "w " * 20), ("d", "b", "# h\n" + "v " * 20), ("e", None, "# x")], "slug string, source string, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = chunking.chunk(spark.read.parquet(str(tmp_path / "t")), "slug", keep=["source"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert sorted((r["id"], r["source"], r["heading_path"], r["text"][0]) for r in df.collect()) == [("d::0000", "a", [], "w"), ("d::0000", "b", ["h"], "v")]
