@@ -49,6 +49,8 @@ class Built:
     chunks: DataFrame
     entities: DataFrame
     vectors: DataFrame
+    #: The ids of the vectors where they are known without embedding a text: each text gets one vector.
+    vector_ids: DataFrame | None = None
 
 
 def build(documents: DataFrame, entities: DataFrame, categories: DataFrame, mentions: DataFrame, provider: str = "hashed", options: dict | None = None, tokens: int = 320, overlap: int = 48, min_words: int = 12, cache: DataFrame | None = None) -> Built:
@@ -62,11 +64,12 @@ def build(documents: DataFrame, entities: DataFrame, categories: DataFrame, ment
     stamped = provenance.stamp(entities, linked, provenance.evidence(mentions))
     keyed = linked.withColumns({"text_hash": F.sha2("text", 256), "provider": F.lit(provider), "model": F.lit(options.get("model", "")), "dim": F.lit(int(options.get("dim") or embedding.DIM))})
     if cache is None:
-        vectors = embedding.embed(linked.select("id", "text"), provider, options)
+        vectors, ids = embedding.embed(linked.select("id", "text"), provider, options), linked.select("id")
     else:
         old, need = embedding.split_by_cache(keyed, cache)
+        ids = old.select("id").unionByName(need.select("id"))
         vectors = old.select("id", "vector").unionByName(embedding.embed(need.select("id", "text"), provider, options))
-    return Built(linked, stamped, vectors)
+    return Built(linked, stamped, vectors, ids)
 
 
 #: The parts of a manifest that come from its layout alone.
@@ -108,7 +111,7 @@ def describe(built: Built, registry: DataFrame | None, about: About, provider: s
     found["ontology"] |= {"base_iri": about.base_iri, "aligns_with": about.aligns_with, "counts": {"entities": built.entities.count(), "by_type": types}}
     c = built.chunks.agg(F.count("*").alias("chunks"), F.count_distinct("doc").alias("documents")).head()
     found["content"] |= {"chunking": {"strategy": "heading+window", "target_tokens": tokens, "overlap_tokens": overlap, "token_heuristic": "words*1.3"}, "counts": c.asDict()}
-    found["embeddings"] |= {"provider": provider, "model": model, "dim": dim, "counts": {"vectors": built.vectors.count()}}
+    found["embeddings"] |= {"provider": provider, "model": model, "dim": dim, "counts": {"vectors": (built.vectors if built.vector_ids is None else built.vector_ids).count()}}
     if registry is not None:
         core = sorted(r["slug"] for r in packs.roots(registry).collect())
         found["composition"] |= {"core": core, "scope": about.scope, "counts": {"packs": registry.count()}}

@@ -80,6 +80,20 @@ def test_build_describe_and_reread(spark, tmp_path):
     assert R.fingerprints(spark, str(tmp_path / "chunks" / "doc=d")).count() >= 1
 
 
+def test_describing_does_not_embed(spark):
+    """files_dataset: vectors were all made once to be counted, and again to be saved."""
+    from loomgraph.operators import embedding
+
+    def never(options):
+        raise AssertionError("a text was embedded")
+
+    embedding.register_provider("never", never)
+    docs = spark.createDataFrame([("d", "the Gift of fire " * 100)], "slug string, text string")
+    ents = spark.createDataFrame([("k/G", ["k/type#Concept"], "Gift", ["Gift"], "", [])], "iri string, types array<string>, label string, aliases array<string>, summary string, tags array<string>")
+    built = dataset.build(docs, ents, ents.select("iri").limit(0), spark.createDataFrame([], "name string, evidence array<string>"), "never")
+    assert dataset.describe(built, None, dataset.About("t", "T", "1", "k/"), "never", "n", 256)["embeddings"]["counts"] == {"vectors": 2}
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(json.dumps({"slug": "a", "text": "word " * 300}))
