@@ -6,6 +6,8 @@ independent, so that a word may also link inside a longer match."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,6 @@ from loomgraph.functions.text import strip
 #: Aliases up to which a class is one regular expression; beyond it, or above, n-grams are joined instead.
 PATTERN_KEYS = 5_000
 BROADCAST_BYTES = 16 << 20
-_RUN = r"(?U)\w+|\W+"
 
 
 def alias_keys(entities: DataFrame, exclude: DataFrame | None = None, min_length: int = 3) -> DataFrame:
@@ -39,14 +40,21 @@ def _hit(kind: str):
     return lambda h: F.struct(F.lit(kind).alias("kind"), (F.lower(h) if kind == "words" else h).alias("key"))
 
 
-def _gram(n: int):
-    """The gram of n runs from a run on, else null.
+def _runs(text: Column | str) -> Column:
+    """Words and what lies between them, in turn.  Cut, not extracted: Spark copies the whole text for every match that it extracts."""
+    return F.split(text, r"(?U)(?<=\w)(?=\W)|(?<=\W)(?=\w)")
+
+
+def _grams(kind: str, n: int, word: bool) -> Column:
+    """The grams of n of the runs __r that begin with a word, or with none.
 
     A key matches between word boundaries, so it covers whole runs; one that begins or ends with other characters than a word's needs
-    a word before or behind it."""
-    word = lambda r: r.rlike(r"(?U)^\w")
-    last = lambda i: F.get("__r", i + n - 1)
-    return lambda r, i: F.when((i + n <= F.size("__r")) & (word(r) | (i > 0)) & (word(last(i)) | (i + n < F.size("__r"))), F.struct(i.alias("i"), F.lit(n).alias("n"), F.array_join(F.slice("__r", i + 1, n), "").alias("gram")))
+    a word before or behind it.  Runs are words and others in turn, so that every second one begins a gram."""
+    first = F.when(F.get("__r", F.lit(0)).rlike(r"(?U)^\w"), 0 if word else 1).otherwise(1 if word else 2)
+    last = F.size("__r") - n - (0 if word == (n % 2 == 1) else 1)
+    key = lambda i: F.get("__r", i) if n == 1 else F.array_join(F.slice("__r", i + 1, n), "")
+    gram = lambda i: F.struct(i.alias("i"), F.lit(n).alias("n"), F.lit(kind).alias("kind"), (F.lower(key(i)) if kind == "words" else key(i)).alias("key"))
+    return F.transform(F.when(first <= last, F.sequence(first, last, F.lit(2))).otherwise(F.array().cast("array<int>")), gram)
 
 
 def _none(texts: DataFrame) -> DataFrame:
@@ -58,7 +66,12 @@ def _found(keys: DataFrame) -> Column | None:
     parts: list[Column] = []
     rows = keys.select("kind", "key").distinct().collect()
     for kind in ("words", "word"):
-        if ks := [r["key"] for r in rows if r["kind"] == kind]:
+        if not (ks := [r["key"] for r in rows if r["kind"] == kind]):
+            continue
+        if kind == "word" and all(re.fullmatch("[A-Za-z0-9_]+", k) for k in ks):
+            # Such a key matches a whole run of word characters, so that runs are looked up.
+            parts.append(F.transform(F.filter(F.split("text", r"(?U)\W+"), lambda w: w.isin(ks)), _hit(kind)))
+        else:
             parts.append(F.transform(F.regexp_extract_all("text", F.lit(pattern(ks, kind == "words")), F.lit(0)), _hit(kind)))
     return F.concat(*parts) if parts else None
 
@@ -77,16 +90,13 @@ def hits_by_pattern(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
 def hits_by_grams(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """The same by a join: grams of word and non-word runs that are keys, then a greedy pass over the matches."""
-    runs = F.regexp_extract_all(F.col("key"), F.lit(_RUN), F.lit(0))
-    table = keys.select("kind", "key").distinct().withColumn("__n", F.size(runs))
-    sizes = [r[0] for r in table.select("__n").distinct().collect()]
-    kinds = ("words", "word")
-    x = texts.select("id", F.regexp_extract_all("text", F.lit(_RUN), F.lit(0)).alias("__r"))
-    grams = [F.transform("__r", _gram(n)) for n in sorted(sizes)]
-    if not grams:
+    table = keys.select("kind", "key").distinct()
+    shapes = table.select("kind", F.size(_runs("key")).alias("n"), F.col("key").rlike(r"(?U)^\w").alias("word")).distinct().collect()
+    if not shapes:
         return _none(texts)
-    g = x.select("id", F.explode(F.filter(F.concat(*grams), lambda s: s.isNotNull())).alias("g")).select("id", "g.*")
-    g = g.select("id", "i", "n", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), (F.lower("gram") if k == "words" else F.col("gram")).alias("key")) for k in kinds))).alias("k")).select("id", "i", "n", "k.*")
+    x = texts.select("id", _runs("text").alias("__r"))
+    grams = [_grams(*shape) for shape in sorted(tuple(s) for s in shapes)]
+    g = x.select("id", F.explode(F.concat(*grams)).alias("g")).select("id", "g.*")
     m = g.join(_hint(table.select("kind", "key")), ["kind", "key"])
     # Leftmost, then longest; the next may begin where the last one ended.
     m = m.groupBy("id", "kind").agg(F.sort_array(F.collect_list(F.struct("i", (-F.col("n")).alias("n"), "key"))).alias("m"))

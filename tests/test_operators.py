@@ -41,6 +41,33 @@ def test_both_linkers_match_a_model(spark):
         assert {i: sorted(h) for i, h in got.items()} == want, find
 
 
+def test_grams_begin_where_a_key_of_their_shape_can(spark):
+    """link_hits_by_grams: every run began a gram of every length, for both kinds."""
+    x = spark.createDataFrame([("of the, on",), ("",), ("(a b",)], "text string").select(linking._runs("text").alias("__r"))
+    at = lambda *shape: [[g["key"] for g in r[0]] for r in x.select(linking._grams(*shape)).collect()]
+    assert at("words", 3, True) == [["of the", "the, on"], [], ["a b"]]
+    assert at("word", 1, True) == [["of", "the", "on"], [], ["a", "b"]]
+    assert at("word", 2, False) == [[" the", ", on"], [], [" b"]] and at("word", 2, True) == [["of ", "the, "], [], ["a "]]
+
+
+def test_plain_words_are_looked_up(spark):
+    """mentions: an alternation of all words was tried at every word, and the text copied for every match."""
+    df = spark.createDataFrame([("a", "The end, the END the_end x22"), ("b", "")], "id string, text string")
+    hits = linking.hits_by_pattern(df, keys_of(spark, ["end", "the", "x22"]))
+    assert "regexp_extract_all" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["id"], r["key"]) for r in hits.collect()] == [("a", "end"), ("a", "the"), ("a", "x22")]
+
+
+def test_sources_come_with_the_chunks(spark, tmp_path):
+    """dq_report, manifest_counts, files_batches: documents were read again, and their chunks joined to them, for a column."""
+    from loomgraph.plans import fixtures
+
+    spark.createDataFrame([(1, "src1", "on the way " * 20), (1, "src2", "on the way " * 20)], "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = fixtures.attested(spark, str(tmp_path))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["label"]: r["attestedIn"] for r in df.collect()}["on the"] == ["src1", "src2"]
+
+
 def test_top_k_ties_and_bounds(spark):
     c = spark.createDataFrame([(x,) for x in "abcd"], "id string")
     v = spark.createDataFrame([("a", [1.0]), ("b", [1.0]), ("c", [0.5])], "id string, vector array<double>")
