@@ -6,12 +6,15 @@ vocabulary is a constant that queries and SQL share."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgraph.operators import chunking, linking
 from loomgraph.operators.ontology import Names
+from loomgraph.sources.staging import reliable
 
 BASE = "https://example.org/kg/"
 NAMES = Names(BASE)
@@ -48,12 +51,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents")).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("slug"), "source", "text")
 
 
-def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk(documents(spark, sf_dir), "slug")
+def chunks(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    return chunking.chunk(documents(spark, sf_dir), "slug", keep=keep)
+
+
+def linked(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    return linking.with_entities(chunks(spark, sf_dir, keep), linking.alias_keys(entities(spark)))
 
 
-def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linking.with_entities(chunks(spark, sf_dir), linking.alias_keys(entities(spark)))
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, entities of each chunk, without its text; written, as several parts of a query count them."""
+    return reliable(linked(spark, sf_dir, ["source"]).select("source", "entities"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +81,10 @@ def packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("slug", F.concat(F.lit("Pack "), "slug").alias("title"), needs.alias("requires"))
 
 
-def attested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vocabulary with attestedIn: the sources whose chunks link to it."""
-    source = documents(spark, sf_dir).select(F.col("slug").alias("doc"), "source")
-    hits = linked(spark, sf_dir).select("doc", F.explode("entities").alias("iri")).join(source, "doc")
+def attested(spark: SparkSession, sf_dir: str, linked_chunks: DataFrame | None = None) -> DataFrame:
+    """The vocabulary with attestedIn: the sources whose chunks (source, entities) link to it."""
+    c = linked(spark, sf_dir, ["source"]) if linked_chunks is None else linked_chunks
+    hits = c.select("source", F.explode("entities").alias("iri"))
     found = hits.groupBy("iri").agg(F.array_sort(F.collect_set("source")).alias("attestedIn"))
     return entities(spark).join(found, "iri", "left").withColumn("attestedIn", F.coalesce("attestedIn", F.array().cast("array<string>")))
 

@@ -11,6 +11,7 @@ from loomgraph.operators import packs as P
 from loomgraph.operators.components import components as connected
 from loomgraph.plans import fixtures as X
 from loomgraph.plans.registry import query
+from loomgraph.sources.staging import reliable
 
 # Packs.
 
@@ -81,8 +82,7 @@ SELECT array_to_string((SELECT list_sort(list(pack)) FROM scope), ' ') AS closur
 (SELECT count(*) FROM attested WHERE len(definedIn) = 0)::INT AS spine_entities, (SELECT count(*) FROM attested WHERE len(definedIn) > 0)::INT AS book_entities_total,
 (SELECT count(*) FROM attested WHERE len(definedIn) > 0 AND len(list_intersect(attestedIn, (SELECT list(pack) FROM scope))) > 0)::INT AS book_entities_in_scope""")
 def composed_counts(spark: SparkSession, sf: str) -> DataFrame:
-    source = X.documents(spark, sf).select(F.col("slug").alias("doc"), "source")
-    n = X.chunks(spark, sf).join(source, "doc").groupBy(F.col("source").alias("slug")).agg(F.count("*").alias("chunks"))
+    n = X.chunks(spark, sf, ["source"]).groupBy(F.col("source").alias("slug")).agg(F.count("*").alias("chunks"))
     view = P.compose(X.packs(spark, sf), X.attested(spark, sf), n, _tokens(spark))
     return view.select(F.array_join("closure", " ").alias("closure"), F.array_join("selected", " ").alias("selected"), "counts.*")
 
@@ -111,9 +111,9 @@ UNION ALL SELECT 'unknown_pack', 'error', count(*) FROM s WHERE slug NOT IN (SEL
 UNION ALL SELECT 'defined_not_attested', 'warning', count(*) FROM attested WHERE len(definedIn) > 0 AND len(list_intersect(definedIn, attestedIn)) = 0 HAVING count(*) > 0
 UNION ALL SELECT 'missing_chunks', 'warning', count(*) FROM packs WHERE slug NOT IN (SELECT source FROM ch) HAVING count(*) > 0""")
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    source = X.documents(spark, sf).select(F.col("slug").alias("d"), "source")
-    by_pack = X.linked(spark, sf).join(source, F.col("doc") == F.col("d")).select(F.col("source").alias("doc"), "entities")
-    return checks.validate(_looped(spark, sf), X.attested(spark, sf), by_pack).groupBy("check", "severity").agg(F.count("*").alias("n"))
+    c = X.links(spark, sf)
+    found = reliable(X.attested(spark, sf, c))
+    return checks.validate(reliable(_looped(spark, sf)), found, c.withColumnRenamed("source", "doc")).groupBy("check", "severity").agg(F.count("*").alias("n"))
 
 
 @query("SELECT count(*) FILTER (len(embedding) <> 64 OR abs(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) > 1e-3) AS bad FROM embeddings")
