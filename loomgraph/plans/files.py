@@ -22,8 +22,7 @@ from loomgraph.sources.staging import folder
 def files_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """NDJSON in a folder for each pack, read through a glob."""
     at = folder(spark, "chunks")
-    source = X.documents(spark, sf).select(F.col("slug").alias("doc"), "source")
-    c = X.chunks(spark, sf).withColumn("entities", F.array().cast("array<string>")).join(source, "doc")
+    c = X.chunks(spark, sf, ["source"]).withColumn("entities", F.array().cast("array<string>"))
     R.write_ndjson(c, at, "source")
     return R.ndjson(spark, f"{at}/*/*.json", S.CHUNK).select("id", "doc", "seq", "text", "n_words", "token_est")
 
@@ -40,8 +39,7 @@ def files_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def files_duplicate_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Files that two globs name hold their ids twice."""
     at = folder(spark, "twice")
-    source = X.documents(spark, sf).select(F.col("slug").alias("doc"), "source")
-    R.write_ndjson(X.chunks(spark, sf).join(source, "doc"), at, "source")
+    R.write_ndjson(X.chunks(spark, sf, ["source"]), at, "source")
     both = [f"{at}/*/*.json", f"{at}/source=src[12]/*.json"]
     return checks.duplicate_ids(R.ndjson(spark, both[0], S.CHUNK).unionAll(R.ndjson(spark, both[1], S.CHUNK)), "chunk", "id").select("key", "detail")
 
@@ -137,8 +135,7 @@ def files_written(spark: SparkSession, sf: str) -> DataFrame:
 def files_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Batches are written in a folder each, and earlier ones go."""
     at = folder(spark, "batches")
-    source = X.documents(spark, sf).select(F.col("slug").alias("doc"), "source")
-    b = X.chunks(spark, sf).join(source, "doc").withColumn("batch_id", F.concat("source", F.lit("__"), F.floor(F.col("seq") / 120).cast("string")))
+    b = X.chunks(spark, sf, ["source"]).withColumn("batch_id", F.concat("source", F.lit("__"), F.floor(F.col("seq") / 120).cast("string")))
     R.write_batches(b.limit(0).withColumn("batch_id", F.lit("old")), at)
     R.write_batches(b, at)
     back = spark.read.schema(S.BATCH + ", batch_id string").json(at)
