@@ -70,8 +70,11 @@ def canonical(mentions: DataFrame) -> DataFrame:
 
 def first_seen(mentions: DataFrame, aliases: int = 12, descriptions: int = 6, evidence: int = 8) -> DataFrame:
     """The plainer aggregation before descriptions are written: first-seen name, commonest type, and the first few
-    aliases (the name is one), descriptions and pieces of evidence in order of appearance."""
+    aliases (the name is one), descriptions and pieces of evidence in order of appearance.
+
+    Usable mentions are written once, as five aggregates read them."""
     m = keyed(mentions).withColumn("aliases", F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("name")))
+    m = reliable(m.select("key", "pos", "name", "type", "aliases", "description", "evidence"))
 
     def firsts(column: str, n: int, name: str, keep: Column | None = None, distinct: bool = True) -> DataFrame:
         x = m.select("key", "pos", F.posexplode(column).alias("i", "v")) if column != "description" else m.select("key", "pos", F.lit(0).alias("i"), F.col("description").alias("v"))

@@ -249,3 +249,19 @@ def test_checks_report_each_kind(spark):
     assert tuple(checks.status(rows).head()) == (False, 3, 2)
     v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0]), ("c", [2.0, 0.0]), ("d", [0.0, 0.0])], "id string, vector array<double>")
     assert {r["key"] for r in checks.bad_vectors(v, 2).collect()} == {"b", "c"}
+
+
+def test_first_seen_reads_its_mentions_once(spark):
+    """first_seen_entities: mentions were made anew for each of its five aggregates."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = [(f"p{i:02}", "The Ox " if i else "Ox", None if i % 3 else "Spell", ["Bull", "", "x" * 61, f"a{i}"], "" if i == 1 else "same", [f"c{i % 10}"]) for i in range(20)]
+    kind = "pos string, name string, type string, aliases array<string>, description string, evidence array<string>"
+    got = mentions.first_seen(spark.createDataFrame(rows, kind).mapInPandas(counted, kind)).collect()
+    assert seen.value == 20
+    assert [tuple(r) for r in got] == [("Ox", "Spell", ["Bull", "a0", "Ox", "a1", "The Ox", *(f"a{i}" for i in range(2, 9))], ["same"] * 6, [f"c{i}" for i in range(8)], 20)]
