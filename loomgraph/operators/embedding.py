@@ -25,6 +25,8 @@ except ImportError:
 DIM = 256
 #: Values that a task holds back before it hands them on.
 HELD = 1 << 16
+#: Repeated ids up to which they are named in the plan.
+NAMED = 1_000
 
 
 def _counted(lowered: str | None, into: Counter[str]) -> None:
@@ -48,14 +50,21 @@ def _unit(w: np.ndarray) -> np.ndarray:
     return w / norm if norm > 0 else w
 
 
+def _repeated(texts: DataFrame) -> list | None:
+    """The ids of several rows; None where they are too many to be named, or of a kind that is not.  Texts are not read for it."""
+    if not isinstance(texts.schema["id"].dataType, (T.StringType, T.IntegralType)):
+        return None
+    rows = texts.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id").limit(NAMED + 1).collect()
+    return [r["id"] for r in rows] if len(rows) <= NAMED else None
+
+
 def _by_text(texts: DataFrame, kind: str, row: Callable[[Counter[str]], tuple], merged: bool, size: int = 1) -> DataFrame:
     """id and the columns of ``kind``, made from the counted grams of one text at a time, so that a task holds one text's grams, not its
-    partition's.  ``merged`` takes rows of one id as one text; they are brought together by sorting the texts, which are the only
-    thing that is shuffled.  ``size``: values in a row, about."""
+    partition's.  ``merged`` takes rows of one id as one text; they are brought together by sorting the texts of repeated ids, which are
+    the only ones that are shuffled (all texts, where such ids are many).  ``size``: values in a row, about."""
     schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), *T._parse_datatype_string(kind).fields])
     x = texts.select("id", F.lower("text").alias("text"))
-    if merged:
-        x = x.repartition("id").sortWithinPartitions("id")
+    together = lambda df: df.repartition("id").sortWithinPartitions("id")
     most = max(1, HELD // size)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +95,13 @@ def _by_text(texts: DataFrame, kind: str, row: Callable[[Counter[str]], tuple],
         if ids:
             yield out()
 
-    return x.mapInArrow(go, schema)
+    if not merged:
+        return x.mapInArrow(go, schema)
+    ids = _repeated(texts)
+    if not ids:
+        return (x if ids == [] else together(x)).mapInArrow(go, schema)
+    again = F.when(F.col("id").isNull(), F.lit(None in ids)).otherwise(F.col("id").isin([i for i in ids if i is not None]))
+    return x.filter(~again).mapInArrow(go, schema).union(together(x.filter(again)).mapInArrow(go, schema))
 
 
 def term_counts(texts: DataFrame) -> DataFrame:

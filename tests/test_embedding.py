@@ -82,3 +82,27 @@ def test_counts_are_made_text_by_text(texts):
         assert {(r["id"], r["gram"]): r["n"] for r in embedding.term_counts(many).collect()} == {(i, g): n for i in range(3) for g, n in {"a": 600, "b": 300, "a_b": 300, "b_a": 300}.items()}
     finally:
         texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_texts_of_ids_of_their_own_are_not_shuffled(texts):
+    """hashed_sparse: all texts were shuffled and sorted, so that a task held a share of them that the number of partitions decides."""
+    own = texts.filter("id in (1, 2, 3)")
+    assert "Exchange" not in steps(embedding.hashed_sparse(own))
+    want = {(i, k): w for i, g in model().items() if i in (1, 2, 3) for k, w in cells(g).items()}
+    assert {(r["id"], r["idx"]): r["w"] for r in embedding.hashed_sparse(own).collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("most", [0, 1, 1000])
+def test_repeated_ids_are_one_text_however_many(texts, monkeypatch, most):
+    """hashed_sparse: where repeated ids, null among them, are named in the plan, and where they are too many."""
+    monkeypatch.setattr(embedding, "NAMED", most)
+    for more, name in (([], "long"), ([(None, "no id"), (3, None)], "long"), ([(None, "x y")], "string")):
+        df = texts.union(texts.sparkSession.createDataFrame(more, "id long, text string")).withColumn("id", F.col("id").cast(name))
+        whole = {}
+        for i, text in TEXTS + more:
+            t = re.findall("[a-z0-9]+", (text or "").lower())
+            whole.setdefault(i if i is None or name == "long" else str(i), Counter()).update(t + [f"{a}_{b}" for a, b in zip(t, t[1:])])
+        got = [((r["id"], r["gram"]), r["n"]) for r in embedding.term_counts(df).collect()]
+        assert len(got) == len(set(got)) and dict(got) == {(i, g): n for i, c in whole.items() for g, n in c.items()}
+    nulls = texts.sparkSession.createDataFrame([(None, "a"), (1, "a"), (None, "a")], "id long, text string")
+    assert {(r["id"], r["n"]) for r in embedding.term_counts(nulls).collect()} == {(None, 2), (1, 1)}
