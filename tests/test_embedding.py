@@ -106,3 +106,11 @@ def test_repeated_ids_are_one_text_however_many(texts, monkeypatch, most):
         assert len(got) == len(set(got)) and dict(got) == {(i, g): n for i, c in whole.items() for g, n in c.items()}
     nulls = texts.sparkSession.createDataFrame([(None, "a"), (1, "a"), (None, "a")], "id long, text string")
     assert {(r["id"], r["n"]) for r in embedding.term_counts(nulls).collect()} == {(None, 2), (1, 1)}
+
+
+def test_scores_of_ids_of_their_own_need_no_shuffle(texts):
+    """hashed_topk: all texts were shuffled before they were scored."""
+    df = embedding.hashed_scores(texts.filter("id in (1, 3)"), [1.0] * 256)
+    assert "Exchange" not in steps(df)
+    want = {i: sum(round(w / math.sqrt(sum(x * x for x in c.values())), 6) for w in c.values()) for i in (1, 3) if (c := cells(model()[i]))}
+    assert {r["id"]: r["score"] for r in df.collect()} == pytest.approx(want, abs=1e-5)
