@@ -114,3 +114,10 @@ def test_scores_of_ids_of_their_own_need_no_shuffle(texts):
     assert "Exchange" not in steps(df)
     want = {i: sum(round(w / math.sqrt(sum(x * x for x in c.values())), 6) for w in c.values()) for i in (1, 3) if (c := cells(model()[i]))}
     assert {r["id"]: r["score"] for r in df.collect()} == pytest.approx(want, abs=1e-5)
+
+
+def test_only_texts_of_repeated_ids_are_sorted(texts):
+    """tf_grams: the sort held the partition's share of all texts."""
+    plan = steps(embedding.term_counts(texts))
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange") == plan.count("Sort ") == 1
+    assert "Sort " not in steps(embedding.term_counts(texts.filter("id in (1, 2)")))
