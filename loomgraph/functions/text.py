@@ -9,7 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as Unicode has it, with the four separators that Unicode leaves out; spelled out, as Java's own class of Unicode is slow.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Java tries every range of a class on a letter; what it is met with here turns most letters away after two.
+SPACE = r"[\x00-\x20\x85-\u3000&&[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 _U = "(?U)"
 
 
