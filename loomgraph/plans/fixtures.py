@@ -42,9 +42,18 @@ def entities(spark: SparkSession) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df, dealt to all cores where it comes in fewer splits than there are (a small table in one row group); larger ones are not shuffled."""
+    """df, dealt to all cores where one split holds more than twice a core's share of its rows, or where there are fewer splits than cores;
+    other tables are not shuffled.
+
+    A row group is read by one task whatever the number of splits, so that rows are counted, from the footers alone, without a column.  Rows
+    are dealt by their place, as a deal in turn would sort whole texts first."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    if splits >= cores:
+        held = df.groupBy(F.spark_partition_id()).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).head()
+        if (held["most"] or 0) * cores <= 2 * (held["all"] or 0):
+            return df
+    return df.withColumn("__at", F.monotonically_increasing_id()).repartition(max(cores, splits), "__at").drop("__at")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

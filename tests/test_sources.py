@@ -102,3 +102,31 @@ def test_stream(spark, tmp_path):
     ingest(stream, keys, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "chunks")).count() == 2
     assert spark.read.parquet(str(tmp_path / "out" / "vectors")).count() == 2
+
+
+def test_a_table_in_one_row_group_is_dealt_to_all_cores(spark, tmp_path):
+    """Its splits are many, but one of them holds all rows; a table in many row groups is read as it lies."""
+    import random
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from loomgraph.plans import fixtures
+
+    rng = random.Random(5)
+    table = pa.table({"doc_id": pa.array([None if i % 3 else 7 for i in range(2000)], pa.int64()), "text": [f"{rng.random()} {i}" * 5 for i in range(2000)]})
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        for name, rows in (("one", 2000), ("many", 50)):
+            pq.write_table(table, f"{tmp_path}/{name}.parquet", row_group_size=rows)
+            read = fixtures.table(spark, str(tmp_path), name)
+            assert read.rdd.getNumPartitions() >= 4
+            dealt = fixtures.spread(read)
+            held = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(held) == 2000 and max(held) <= 2 * 2000 / 4
+            assert sorted(r["text"] for r in dealt.collect()) == sorted(table["text"].to_pylist())
+            assert ("Exchange" in plan(dealt)) == (name == "one") and "RoundRobin" not in plan(dealt)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
